@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.boilerplate import boilerplate_lines
 from tidemark.llm.capping import over_cap
-from tidemark.scale import guarded_join, table
+from tidemark.llm.places import match_places
+from tidemark.scale import cut, guarded_join, table
 
 
 def employers(spark: SparkSession, d: str) -> DataFrame:
@@ -28,6 +30,21 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return over_cap(rows, ["run_id", "employer"], "cap", "quality", "ordinal").select("ordinal").distinct()
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of places that each location names, -1 if none."""
+    rows = table(spark, d, "postings").select("ordinal", F.trim("location").alias("text")).where("text != ''")
+    matched = cut(match_places(rows, "text", table(spark, d, "places")))
+    ids = matched.select("text", F.when(F.size("found") > 0, F.col("found")).otherwise(F.array(F.lit(-1))).alias("found"))
+    rows = guarded_join(rows, ids, ["text"], "inner", "ordinal")
+    return rows.select("ordinal", F.explode("found").alias("place_id")).distinct()
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of descriptions that aren't the role's own text."""
+    rows = table(spark, d, "postings").select("ordinal", "description")
+    return boilerplate_lines(rows, "description", "ordinal").distinct()
+
+
 P4_SQL = r"""
 WITH p AS (SELECT DISTINCT run_id, ordinal, platform, token, quality FROM postings),
 r AS (SELECT platform, token, arg_min(coalesce(company, ''), ordinal) AS company FROM registry GROUP BY 1, 2),
@@ -36,5 +53,5 @@ e AS (SELECT p.*, coalesce('n' || nullif(regexp_replace(lower(company), '[^\p{L}
 SELECT DISTINCT ordinal FROM (SELECT ordinal, cap, row_number() OVER (PARTITION BY run_id, employer ORDER BY quality DESC NULLS LAST, ordinal) AS k FROM e) WHERE k > cap
 """
 
-QUERIES = {"p4_found": p4_found}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found}
 ORACLES = {"p4_found": P4_SQL}
