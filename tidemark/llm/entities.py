@@ -37,7 +37,7 @@ ADDED = "group careers career jobs job hq talent india eu us uk inc intl global
 
 
 def words(text: str) -> list[str]:
-    parted = re.sub(r"(?<=[a-zà-þ])(?=[A-ZÀ-Þ])", " ", text)
+    parted = re.sub(r"(?<=[a-zà-þ])(?=[A-ZÀ-Þ][a-zà-þ])", " ", text)
     parted = re.sub(r"\b([A-Za-z])\.([A-Za-z])\b\.?", r"\1\2", parted)
     return re.findall(r"[^\W_]+", parted.casefold())
 
@@ -77,13 +77,30 @@ def host_of(text: str | None) -> str:
     return re.sub(r"[^a-z0-9]", "", re.sub(r"(?:-old|-new|(?<=[a-z]{4})group)$", "", label))
 
 
-def slug_of(token: str) -> str:
-    """The part of a board's token that is the firm's own, letters and digits."""
+def slugs_of(token: str) -> list[str]:
+    """The parts of a board's token that can be the firm's own, letters and digits."""
     t = token.casefold()
-    if "|" in t:
-        t = t.split("|")[1] or t
-    labels = [x for x in t.split(".") if x not in ("www", "careers", "career", "jobs", "job")]
-    return re.sub(r"[^a-z0-9]", "", labels[0] if labels else "")
+    parts = t.split("|")[1:] if "|" in t else [t]
+    out = []
+    for part in parts:
+        labels = [x for x in part.split(".") if x not in ("www", "careers", "career", "jobs", "job")]
+        slug = re.sub(r"[^a-z0-9]", "", labels[0] if labels else "")
+        if len(slug) > 5 and slug not in ADDED:
+            out.append(slug)
+    return list(dict.fromkeys(out))
+
+
+def guess(slug: str) -> tuple[str, str | None]:
+    """(core, trade) that a slug or host seems to have: additions and then one trade are taken off its end."""
+    core = slug
+    while True:
+        core = core.rstrip("0123456789")
+        hit = next((w for w in sorted(ADDED, key=len, reverse=True) if core.endswith(w) and len(core) - len(w) >= 5), None)
+        if not hit:
+            break
+        core = core[: -len(hit)]
+    w = next((w for w in TRADE_WORDS if len(w) > 2 and core.endswith(w) and len(core) - len(w) >= 5), None)
+    return (core[: -len(w)], TRADE[w]) if w else (core, None)
 
 
 def rest_of(slug: str, core: str) -> tuple[bool, str | None]:
@@ -129,7 +146,13 @@ def compare(x: dict, y: dict) -> float:
                 base, how = v, "name" if v == 1 else "near"
     for p, q in ((x, y), (y, x)):
         for slug in p["slugs"]:
-            for core in q["cores"]:
+            if base < 0.98:  # a slug or host without its endings against names, slugs and hosts of the other
+                own = guess(slug)[0]
+                for other in [*q["cores"], *(guess(o)[0] for o in q["slugs"])]:
+                    v = 0.98 * likeness(own, other)
+                    if v > base:
+                        base, how = v, "slug" if v >= 0.98 else "near"
+            for core in [*q["cores"], *q["hosts"]]:
                 fits, trade = rest_of(slug, core)
                 if fits and base < 1:
                     base, how = 0.98, "slug"
@@ -169,13 +192,14 @@ def described(df: DataFrame) -> DataFrame:
                     cores += [c for c in [core, *others] if len(c) > 2]
                     trade = trade or t
                 hosts = [h for u in (r["urls"] if r["urls"] is not None else []) if (h := host_of(u))]
-                slugs = [slug_of(r["token"])] if isinstance(r["token"], str) else []
+                slugs = slugs_of(r["token"]) if isinstance(r["token"], str) else []
                 own = list(dict.fromkeys(cores))
                 for h in [*hosts, *slugs]:
                     for c in own:
                         fits, t = rest_of(h, c)
                         if fits and t and not trade:
                             trade = t
+                trade = trade or next((t for h in [*hosts, *slugs] if (t := guess(h)[1])), None)
                 text = lambda v: v.strip().casefold() if isinstance(v, str) and v.strip() else None
                 out.append((r["side"], r["id"], own, list(dict.fromkeys([*slugs, *hosts])), list(dict.fromkeys(hosts)), trade, text(r["place"]), text(r["system"]), text(r["segment"])))
             yield pd.DataFrame(out, columns=["side", "id", "cores", "slugs", "hosts", "trade", "place", "system", "segment"])

@@ -26,7 +26,7 @@ CODE_OF = {w: code for code, text in NOTATIONS.items() for w in text.split()}
 # Labels that say nothing.
 NO_LABEL = ["", "und", "unknown", "xx", "zxx", "mul", "n/a", "na", "none", "null", "-", "?"]
 
-ORDERS = (1, 2, 3, 4)  # lengths of character n-grams; words' ends count as a blank
+ORDERS = (2, 3, 4)  # lengths of character n-grams; words' ends count as a blank
 DIM = 1 << 16
 CLUSTERS = 8  # centroids per language
 SAMPLE = 150  # labelled documents per language that the centroids are fitted on
@@ -34,6 +34,7 @@ SAMPLE_SENTENCES = 60  # sentences taken of each of them, spread over the docume
 FAR = 0.06  # a sentence with a smaller cosine to every centroid has no language
 SENTENCE = re.compile(r"(?<=[.!?।…])\s+|\n+")
 WORDLESS = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|[\d_]+|[^\w\s]+(?<![ऀ-ॿ])")
+UNSURE = 0.05  # a sentence whose two nearest languages are closer than this hardly votes
 BATCH = 1 << 20  # characters that are hashed at once
 
 
@@ -257,19 +258,21 @@ def detect(df: DataFrame, key: str, text: str, label: str, model: Model | None =
                     where += [(i, p)] * len(own)
             codes, sure = m.languages(flat)
             total: dict[tuple[int, int], dict[str, list[float]]] = {}
+            chars: dict[tuple[int, int], int] = {}
             for (i, p), s, code, c in zip(where, flat, codes, sure, strict=True):
                 n = len(s.strip())
                 for at in ((i, p), (i, 0)):
                     votes = total.setdefault(at, {})
                     if code:
-                        v = votes.setdefault(code, [0, 0.0])
-                        v[0] += n
+                        chars[at] = chars.get(at, 0) + n
+                        v = votes.setdefault(code, [0.0, 0.0])
+                        v[0] += n if c >= UNSURE else n / 1000  # decides only where nothing surer does
                         v[1] += n * float(c)
             out = []
             langs: dict[int, set[str]] = {}
             for (i, p), votes in total.items():
                 best = max(sorted(votes), key=lambda code: votes[code][0]) if votes else None
-                size = sum(v[0] for v in votes.values())
+                size = chars.get((i, p), 0)
                 if best and p:
                     langs.setdefault(i, set()).add(best)
                 out.append((i, p, best, votes[best][1] / size if best else None, size))
