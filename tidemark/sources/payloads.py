@@ -1,0 +1,178 @@
+"""Boards' answers parsed to postings: one declaration per platform, all of it in the plan.
+
+``parse`` takes captured answers (platform, token, page, payload) and gives a row per posting. ``headers``
+gives a row per answer with its error, count and reported total.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.text import strip_html, truthy, unescape
+
+COLUMNS = ["platform", "token", "page", "position", "job_id", "title", "location", "url", "posted_on", "description"]
+
+
+def first(*cols: Column) -> Column:
+    """The first that is neither null nor empty, '' if none is."""
+    return F.coalesce(*[truthy(c.cast("string")) for c in cols], F.lit(""))
+
+
+def joined(*cols: Column, sep: str = ", ") -> Column:
+    return F.concat_ws(sep, *[truthy(c.cast("string")) for c in cols])
+
+
+@dataclass
+class Platform:
+    """How one platform's answer is read: its schema, where the list and total stand, and each field."""
+
+    schema: str
+    items: str  # path of the list in the parsed answer, '' if the answer is the list
+    fields: dict
+    total: str | None = None
+    extra: dict = field(default_factory=dict)
+
+
+def T() -> Column:  # noqa: N802
+    return F.col("token")
+
+
+def J(name: str) -> Column:  # noqa: N802
+    return F.col(f"j.{name}")
+
+
+PLATFORMS = {
+    "greenhouse": Platform(
+        "jobs array<struct<id:string,title:string,location:struct<name:string>,absolute_url:string,updated_at:string,content:string>>, meta struct<total:int>", "jobs",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("title")), "location": lambda: first(J("location.name")), "url": lambda: first(J("absolute_url")), "posted_on": lambda: first(J("updated_at")), "description": lambda: truthy(strip_html(J("content")))}, "meta.total",
+    ),
+    "lever": Platform(
+        "array<struct<id:string,text:string,categories:struct<location:string>,hostedUrl:string,applyUrl:string,createdAt:string,descriptionPlain:string,description:string>>", "",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("text")), "location": lambda: first(J("categories.location")), "url": lambda: first(J("hostedUrl"), J("applyUrl")), "posted_on": lambda: first(J("createdAt")), "description": lambda: truthy(first(J("descriptionPlain"), J("description")))},
+    ),
+    "ashby": Platform(
+        "jobs array<struct<id:string,title:string,location:string,jobUrl:string,applyUrl:string,publishedAt:string,descriptionPlain:string,descriptionHtml:string>>", "jobs",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("title")), "location": lambda: first(J("location")), "url": lambda: first(J("jobUrl"), J("applyUrl")), "posted_on": lambda: first(J("publishedAt")), "description": lambda: truthy(first(J("descriptionPlain"), strip_html(J("descriptionHtml"))))},
+    ),
+    "smartrecruiters": Platform(
+        "content array<struct<id:string,name:string,location:struct<city:string,country:string>,ref:string,releasedDate:string>>, totalFound int", "content",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("name")), "location": lambda: joined(J("location.city"), J("location.country")), "url": lambda: first(J("ref"), F.concat(F.lit("https://jobs.smartrecruiters.com/"), T(), F.lit("/"), J("id"))), "posted_on": lambda: first(J("releasedDate"))}, "totalFound",
+    ),
+    "workable": Platform(
+        "jobs array<struct<shortcode:string,id:string,title:string,location:struct<city:string,country:string>,url:string,application_url:string,published_on:string>>", "jobs",
+        {"job_id": lambda: first(J("shortcode"), J("id")), "title": lambda: first(J("title")), "location": lambda: joined(J("location.city"), J("location.country")), "url": lambda: first(J("url"), J("application_url")), "posted_on": lambda: first(J("published_on"))},
+    ),
+    "workday": Platform(
+        "jobPostings array<struct<bulletFields:array<string>,externalPath:string,title:string,locationsText:string,postedOn:string>>, total int", "jobPostings",
+        {"job_id": lambda: first(F.get(J("bulletFields"), F.lit(0)), F.substring_index(J("externalPath"), "/", -1)), "title": lambda: first(J("title")), "location": lambda: first(J("locationsText")), "posted_on": lambda: first(J("postedOn")),
+         "url": lambda: F.concat(F.lit("https://"), part(0), F.lit("/"), F.coalesce(part(2), part(1), F.substring_index(part(0), ".", 1)), F.coalesce(J("externalPath"), F.lit("")))}, "total",
+    ),
+    "personio": Platform(
+        "array<struct<id:string,name:string,office:string,createdAt:string>>", "",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("name")), "location": lambda: first(J("office")), "url": lambda: F.concat(F.lit("https://"), T(), F.lit(".jobs.personio.de/job/"), first(J("id"))), "posted_on": lambda: first(J("createdAt"))},
+    ),
+    "recruitee": Platform(
+        "offers array<struct<id:string,title:string,city:string,country:string,careers_url:string,careers_apply_url:string,published_at:string>>", "offers",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("title")), "location": lambda: joined(J("city"), J("country")), "url": lambda: first(J("careers_url"), J("careers_apply_url")), "posted_on": lambda: first(J("published_at"))},
+    ),
+    "keka": Platform(
+        "array<struct<id:string,title:string,jobLocations:string,location:string,createdOn:string,postedOn:string,description:string,jobDescription:string>>", "",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("title")), "location": lambda: place_text(first(J("jobLocations"), J("location"))), "url": lambda: F.concat(F.lit("https://"), T(), F.lit(".keka.com/careers/jobdetails/"), first(J("id"))), "posted_on": lambda: first(J("createdOn"), J("postedOn")), "description": lambda: truthy(strip_html(first(J("description"), J("jobDescription"))))},
+    ),
+    "amazon": Platform(
+        "jobs array<struct<id_icims:string,id:string,title:string,normalized_location:string,location:string,job_path:string,posted_date:string,description:string>>, hits int", "jobs",
+        {"job_id": lambda: first(J("id_icims"), J("id")), "title": lambda: first(J("title")), "location": lambda: place_text(first(J("normalized_location"), J("location"))), "url": lambda: F.concat(F.lit("https://www.amazon.jobs"), J("job_path")), "posted_on": lambda: first(J("posted_date")), "description": lambda: truthy(strip_html(J("description")))}, "hits",
+    ),
+    "eightfold": Platform(
+        "positions array<struct<id:string,name:string,locations:array<string>,location:string,canonicalPositionUrl:string,postedTs:bigint,t_create:bigint>>, count int", "positions",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("name")), "location": lambda: first(F.array_join(J("locations"), "; "), J("location")), "url": lambda: first(J("canonicalPositionUrl")), "posted_on": lambda: F.coalesce(F.date_format(F.timestamp_seconds(F.coalesce(J("postedTs"), J("t_create"))), "yyyy-MM-dd"), F.lit(""))}, "count",
+    ),
+}
+
+
+def part(i: int) -> Column:
+    """Part of a token of the form host|tenant|site, null where missing."""
+    return truthy(F.get(F.split(F.col("token"), r"\|"), F.lit(i)))
+
+
+def place_text(c: Column) -> Column:
+    """A place given as text, or as a JSON object or list of such, in words."""
+    keyed = F.regexp_extract_all(c, F.lit(r'"(?:name|city|state|country)"\s*:\s*"([^"]+)"'), F.lit(1))
+    listed = F.regexp_extract_all(c, F.lit(r'"([^"]+)"'), F.lit(1))
+    return F.when(c.rlike(r'^\s*[\[{].*"(?:name|city|state|country)"\s*:'), F.array_join(keyed, " ")).when(c.rlike(r"^\s*\["), F.array_join(listed, " ")).otherwise(c)
+
+
+def _read(answers: DataFrame, name: str, p: Platform) -> DataFrame:
+    schema = p.schema if p.items == "" else f"struct<{_colons(p.schema)}>"
+    rows = answers.where(F.col("platform") == name).withColumn("a", F.from_json("payload", schema))
+    items = F.col("a") if p.items == "" else F.col(f"a.{p.items}")
+    total = F.col(f"a.{p.total}") if p.total else F.lit(None).cast("int")
+    return rows.select("platform", "token", "page", items.alias("items"), total.alias("total"))
+
+
+def _colons(schema: str) -> str:
+    """Top-level fields of a schema as those of a struct."""
+    import re
+
+    depth, out, word = 0, [], ""
+    for ch in schema:
+        depth += (ch == "<") - (ch == ">")
+        if ch == "," and depth == 0:
+            out.append(word.strip())
+            word = ""
+        else:
+            word += ch
+    out.append(word.strip())
+    return ",".join(re.sub(r"^(\w+)\s+", r"\1:", f) for f in out)
+
+
+def parse(answers: DataFrame) -> DataFrame:
+    """Postings of the answers of all known platforms: COLUMNS, absent texts as '', absent descriptions null.
+
+    An answer that isn't of its platform's shape gives no postings (see headers()). Unknown platforms and
+    null payloads give none either. An empty table gives an empty one.
+    """
+    out = None
+    for name, p in PLATFORMS.items():
+        each = _read(answers, name, p).select("platform", "token", "page", F.posexplode("items").alias("position", "j"))
+        made = {c: f() for c, f in p.fields.items()}
+        row = each.select("platform", "token", "page", "position", *[made.get(c, F.lit(None).cast("string")).cast("string").alias(c) for c in COLUMNS[4:]])
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def headers(answers: DataFrame) -> DataFrame:
+    """One row per answer: ``error`` ('unexpected_shape', 'unsupported_platform' or null), ``n_postings``, ``reported_total``."""
+    out = answers.where(~F.coalesce(F.col("platform").isin(list(PLATFORMS)), F.lit(False))).select("platform", "token", "page", F.lit("unsupported_platform").alias("error"), F.lit(0).alias("n_postings"), F.lit(None).cast("int").alias("reported_total"))
+    for name, p in PLATFORMS.items():
+        got = _read(answers, name, p)
+        out = out.unionByName(got.select("platform", "token", "page", F.when(F.col("items").isNull(), "unexpected_shape").alias("error"), F.coalesce(F.size("items"), F.lit(0)).alias("n_postings"), F.col("total").alias("reported_total")))
+    return out.withColumn("n_postings", F.greatest("n_postings", F.lit(0)))
+
+
+def xml_text(chunk: Column, tag: str) -> Column:
+    """Text of the first element ``tag`` in a piece of XML, CDATA and entities resolved; '' if there is none."""
+    raw = F.regexp_extract(chunk, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
+    inner = F.regexp_replace(raw, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", "$1")
+    return F.trim(unescape(inner))
+
+
+def sitemap(answers: DataFrame) -> DataFrame:
+    """Postings of job feeds and sitemaps (token, payload): a row per <item> or per <url> with a job's number in its path.
+
+    Of several entries with one number the first stays. A place in brackets closing the title moves to the
+    location if that is empty.
+    """
+    items = answers.select("token", F.posexplode(F.regexp_extract_all("payload", F.lit(r"(?is)(<item\b.*?</item>|<url\b.*?</url>)"), F.lit(1))).alias("position", "x"))
+    link = F.coalesce(truthy(xml_text(F.col("x"), "link")), truthy(xml_text(F.col("x"), "loc")), F.lit(""))
+    number = F.coalesce(truthy(xml_text(F.col("x"), "g:id")), truthy(F.regexp_extract(link, r"/(\d{3,})/?(?:[?#].*)?$", 1)), truthy(xml_text(F.col("x"), "guid")), F.lit(""))
+    rows = items.select("token", "position", number.alias("job_id"), xml_text(F.col("x"), "title").alias("title"), xml_text(F.col("x"), "g:location").alias("location"), link.alias("url"), truthy(strip_html(xml_text(F.col("x"), "description"))).alias("description"))
+    bracket = F.regexp_extract("title", r"\(([^()]*,[^()]*)\)\s*$", 1)
+    moved = (F.col("location") == "") & (bracket != "")
+    rows = rows.select("token", "position", "job_id", F.when(moved, F.regexp_replace("title", r"\s*\([^()]*\)\s*$", "")).otherwise(F.col("title")).alias("title"), F.when(moved, bracket).otherwise(F.col("location")).alias("location"), "url", "description").where("job_id != ''")
+    best = F.struct("position", "title", "location", "url", "description")
+    one = rows.groupBy("token", "job_id").agg(F.min(best).alias("b"))
+    return one.select("token", "job_id", "b.position", "b.title", "b.location", "b.url", "b.description")
