@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.places import edits
-from tidemark.scale import cut
+from tidemark.scale import cut, guarded_join
 
 #: Keys up to this many places apart in the sorted order are compared.
 WINDOW = 6
@@ -208,11 +208,15 @@ def described(df: DataFrame) -> DataFrame:
 
 
 def neighbours(records: DataFrame) -> DataFrame:
-    """Pairs of distinct records whose keys stand within WINDOW places of each other in one of the sorted orders."""
+    """Pairs of records whose keys stand within WINDOW places of each other in one of the sorted orders.
+
+    Records of different sides meet each other. Those of one side that share key and trade meet their first
+    alone, and these first ones meet each other, so that a firm with many records gives as many pairs.
+    """
     key = F.col("key")
     forward = F.concat(F.col("cores"), F.col("slugs"))
-    keys = records.select("side", "id", F.explode(F.array_distinct(forward)).alias("key")).where(F.length("key") > 2)
-    both = keys.withColumn("order", F.lit(0)).unionByName(keys.select("side", "id", F.reverse("key").alias("key"), F.lit(1).alias("order")))
+    keys = records.select("side", "id", F.coalesce("trade", F.lit("")).alias("trade"), F.explode(F.array_distinct(forward)).alias("key")).where(F.length("key") > 2)
+    both = keys.withColumn("order", F.lit(0)).unionByName(keys.withColumn("key", F.reverse("key")).withColumn("order", F.lit(1)))
     both = cut(both)
     distinct = both.select("order", "key").distinct()
     placed = distinct.repartitionByRange("order", "key").sortWithinPartitions("order", "key").withColumn("at", F.monotonically_increasing_id())
@@ -220,12 +224,21 @@ def neighbours(records: DataFrame) -> DataFrame:
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     placed = placed.join(F.broadcast(offsets), "part").select("order", "key", (F.col("at") + F.col("offset")).alias("at"))
-    placed = both.join(placed, ["order", "key"]).select("order", "at", "side", "id")
+    placed = cut(both.join(placed, ["order", "key"]).select("order", "at", "side", "trade", "id"))
+    spot = ["order", "at"]
+    firsts = placed.groupBy(*spot, "side", "trade").agg(F.min("id").alias("id"))
+    name = lambda side, c: F.struct(F.col(side).alias("side"), F.col(c).alias("id"))
     steps = F.explode(F.array(*[F.lit(i) for i in range(WINDOW + 1)]))
-    ahead = placed.withColumn("step", steps).select("order", (F.col("at") + F.col("step")).alias("at"), "step", F.col("side").alias("side_x"), F.col("id").alias("id_x"))
-    met = ahead.join(placed.select("order", "at", F.col("side").alias("side_y"), F.col("id").alias("id_y")), ["order", "at"])
-    x, y = F.struct(F.col("side_x").alias("side"), F.col("id_x").alias("id")), F.struct(F.col("side_y").alias("side"), F.col("id_y").alias("id"))
-    return met.where(x != y).select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
+
+    def meet(df: DataFrame) -> DataFrame:
+        ahead = df.withColumn("step", steps).select("order", (F.col("at") + F.col("step")).alias("at"), F.col("side").alias("side_x"), F.col("id").alias("id_x"))
+        return ahead.join(df.select(*spot, F.col("side").alias("side_y"), F.col("id").alias("id_y")), spot)
+
+    across = meet(placed).where("side_x != side_y").select(name("side_x", "id_x").alias("x"), name("side_y", "id_y").alias("y"))
+    along = meet(firsts).where("side_x = side_y").select(name("side_x", "id_x").alias("x"), name("side_y", "id_y").alias("y"))
+    own = placed.join(firsts.withColumnRenamed("id", "first"), [*spot, "side", "trade"]).select(name("side", "id").alias("x"), name("side", "first").alias("y"))
+    every = across.union(along).union(own)
+    return every.where(F.col("x") != F.col("y")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -292,7 +305,13 @@ def match_entities(records: DataFrame) -> DataFrame:
     ``records`` as for described(). Records without name, host and slug match nothing. Several records of a
     side can be one entity; each gives pairs. Repeated ids must be merged before. Empty sides give no rows.
     """
-    full = cut(described(records))
+    # Records equal in all that is compared are one node; its members come back at the end.
+    what = ["side", "cores", "slugs", "hosts", "trade", "place", "system", "segment"]
+    mark = {"hx": F.xxhash64(*what), "hy": F.xxhash64(F.lit(7919), *what)}
+    told = cut(described(records).withColumns(mark))
+    firsts = told.groupBy("hx", "hy").agg(F.min("id").alias("node"))
+    member = cut(guarded_join(told, firsts, ["hx", "hy"], "inner", "id").select("side", "node", "id", *what[1:]))
+    full = cut(member.where("id = node").select("id", *what).dropDuplicates(["side", "id"]))
     facts = F.struct("cores", "slugs", "hosts", "trade", "place", "system", "segment")
     left = full.select(F.struct("side", "id").alias("x"), facts.alias("fx"))
     right = full.select(F.struct("side", "id").alias("y"), facts.alias("fy"))
@@ -335,5 +354,6 @@ def match_entities(records: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["ga", "gb", "confidence"])
 
     chosen = bound.groupBy("contest").applyInPandas(settle, "ga string, gb string, confidence double")
-    members = lambda c, to: group.select(F.col("group").alias(c), F.substring("node", 3, 1 << 20).alias(to))
+    everyone = member.select(F.concat("side", F.lit(":"), "node").alias("node"), "id").join(group, "node")
+    members = lambda c, to: everyone.select(F.col("group").alias(c), F.col("id").alias(to))
     return chosen.join(members("ga", "id_a"), "ga").join(members("gb", "id_b"), "gb").select("id_a", "id_b", "confidence")

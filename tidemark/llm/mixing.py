@@ -7,6 +7,7 @@ emitted floor(rate) times, and once more if its hash falls below the rate's frac
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.scale import cut
@@ -25,8 +26,8 @@ def rates(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> Dat
     source reaches its share within its cap; with it, a source whose cap doesn't suffice stays below its share.
     """
     met = targets.where("target_share > 0 AND max_repeats > 0").join(sizes.where("available > 0"), "source")
-    sums = met.agg(F.sum("target_share").alias("all"), F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")).alias("reach"))
-    met = met.join(F.broadcast(sums))  # one row
+    every = W.partitionBy(F.lit(0))  # the targets: a short list
+    met = met.withColumns({"all": F.sum("target_share").over(every), "reach": F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")).over(every)})
     wanted = F.lit(float(total)) if total is not None else F.col("reach") * F.col("all")
     rate = F.least(F.col("max_repeats").cast("double"), wanted * F.col("target_share") / F.col("all") / F.col("available"))
     return met.select("source", "target_share", "max_repeats", "available", rate.alias("rate"))
@@ -53,8 +54,8 @@ def mix(df: DataFrame, key: str, source: str, size: str, targets: DataFrame, tot
     records = copies.select(F.col("__tm_key").alias(key), F.col("__tm_source").alias("source"), "copy_no", F.col("__tm_size").alias("size"))
     got = records.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.sum("size").alias("size"))
     every = wanted.select("source").union(sizes.select("source")).distinct()
-    whole = got.agg(F.sum("size").alias("whole"))
-    report = every.join(wanted.select("source", "target_share", "max_repeats"), "source", "left").join(sizes, "source", "left").join(found.select("source", "rate"), "source", "left").join(got, "source", "left").join(F.broadcast(whole))
+    report = every.join(wanted.select("source", "target_share", "max_repeats"), "source", "left").join(sizes, "source", "left").join(found.select("source", "rate"), "source", "left").join(got, "source", "left")
+    report = report.withColumn("whole", F.sum("size").over(W.partitionBy(F.lit(0))))  # a row per source
     zero = lambda c: F.coalesce(c, F.lit(0))
     report = report.select(
         "source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), zero("max_repeats").alias("max_repeats"), zero("available").alias("available"), F.coalesce("rate", F.lit(0.0)).alias("rate"),

@@ -154,7 +154,9 @@ def pack(df: DataFrame, key: str, size: str, capacity: int, block: int = BLOCK)
     items = cut(df.select(F.col(key).alias("key"), F.col(size).cast("bigint").alias("size")).where("size >= 0"))
     blocks = max(1, -(-items.count() // block))
     kind = df.schema[key].dataType.simpleString()
-    spread = items.withColumn("block", F.pmod(F.xxhash64("key", "size"), F.lit(blocks)).cast("int"))
+    # Copies of a row are numbered, so that they spread over the blocks like other rows.
+    copies = items.groupBy("key", "size").count().select("key", "size", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
+    spread = copies.select("key", "size", F.pmod(F.xxhash64("key", "size", "copy"), F.lit(blocks)).cast("int").alias("block"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["key", "size"], kind="stable")
