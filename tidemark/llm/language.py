@@ -35,7 +35,8 @@ FAR = 0.06  # a sentence with a smaller cosine to every centroid has no language
 SENTENCE = re.compile(r"(?<=[.!?।…])\s+|\n+")
 WORDLESS = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|[\d_]+|[^\w\s]+(?<![ऀ-ॿ])")
 UNSURE = 0.05  # a sentence whose two nearest languages are closer than this hardly votes
-BATCH = 1 << 20  # characters that are hashed at once
+BATCH = 1 << 18  # characters that are hashed at once
+STEP = 1 << 15  # n-grams whose weights are gathered at once
 
 
 def label_code(label: Column) -> Column:
@@ -113,11 +114,14 @@ class Model:
                     tf = (1 + np.log(count)).astype(np.float32)
                     starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                     norm = np.sqrt(np.add.reduceat((tf * self.idf[col]) ** 2, starts))
-                    for a in range(0, len(starts), 20_000):
-                        b = min(a + 20_000, len(starts))
+                    # A few texts at a time: the rows gathered for them stay within STEP, or one text's.
+                    a = 0
+                    while a < len(starts):
+                        b = max(a + 1, int(np.searchsorted(starts, starts[a] + STEP)))
                         lo, hi = starts[a], starts[b] if b < len(starts) else len(row)
                         sums = np.add.reduceat(self.table[col[lo:hi]] * tf[lo:hi, None], starts[a:b] - lo, axis=0)
                         out[first + row[starts[a:b]]] = sums / np.maximum(norm[a:b, None], 1e-9)
+                        a = b
                 first, size = at, 0
         return out
 
