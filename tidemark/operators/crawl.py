@@ -86,7 +86,7 @@ def allowed(paths: DataFrame, rules: DataFrame, agent: str, origin: str = "origi
     active = named.withColumn("__tm_own", own).where((F.col("__tm_own") == 0) | (F.lower("agent") == agent.lower())).where("pattern IS NOT NULL")
     active = active.groupBy("origin").agg(F.collect_set(F.struct(pattern_regex(F.col("pattern")).alias("rx"), F.length("pattern").alias("n"), F.col("allow").alias("ok"))).alias("__tm_rules"))
     each = paths.select(F.col(origin).alias("origin"), F.col(path).alias("path")).distinct().join(active, "origin", "left")
-    hit = F.filter(F.coalesce("__tm_rules", F.array().cast("array<struct<rx:string,n:int,ok:boolean>>")), lambda r: F.coalesce(F.col("path").rlike(r["rx"]), F.lit(False)))
+    hit = F.filter(F.coalesce("__tm_rules", F.array().cast("array<struct<rx:string,n:int,ok:boolean>>")), lambda r: F.coalesce(F.rlike(F.col("path"), r["rx"]), F.lit(False)))
     longest = lambda ok: F.coalesce(F.array_max(F.transform(F.filter(hit, lambda r: r["ok"] == F.lit(ok)), lambda r: r["n"])), F.lit(-1))
     each = each.select(F.col("origin").alias(origin), F.col("path").alias(path), ((longest(False) < 0) | (longest(True) >= longest(False))).alias("allowed"))
     return paths.join(each, (paths[origin].eqNullSafe(each[origin])) & (paths[path].eqNullSafe(each[path])), "left").drop(each[origin]).drop(each[path])
@@ -98,10 +98,12 @@ def crawl_delay(delay: Column) -> Column:
 
 
 def gaps(requests: DataFrame, host: str, at: str, delay: float, tie: str) -> DataFrame:
-    """Add ``gap`` (seconds since the host's request before) and ``wait`` (seconds that were missing to ``delay``)."""
+    """Add ``gap`` (microseconds since the host's request before) and ``wait`` (those that were missing to ``delay`` seconds)."""
     w = W.partitionBy(host).orderBy(at, tie)
-    secs = (F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.lag(at).over(w).cast("timestamp"))) / F.lit(1e6)
-    return requests.withColumn("gap", secs).withColumn("wait", F.greatest(F.lit(0.0), F.lit(delay) - F.coalesce("gap", F.lit(delay))))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    least = F.lit(int(delay * 1_000_000)).cast("bigint")
+    gap = micros(F.col(at)) - micros(F.lag(at).over(w))
+    return requests.withColumn("gap", gap).withColumn("wait", F.greatest(F.lit(0).cast("bigint"), least - F.coalesce("gap", least)))
 
 
 def penalties(requests: DataFrame, host: str, at: str, refused: Column, retry_after: Column, tie: str) -> DataFrame:

@@ -210,7 +210,7 @@ def surfaced_flags(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.beyond(marked, ["run_id", "token"], [F.col("quality").desc_nulls_last(), F.col("ordinal")], 10, F.col("dup_of").isNull()).select("run_id", "ordinal", "over_cap")
 
 
-@query("""SELECT DISTINCT ordinal, CASE WHEN regexp_full_match(trim(posted_on), '\\d{4}-\\d{2}-\\d{2}.*') THEN date_diff('day', try_cast(substr(trim(posted_on), 1, 10) AS DATE), DATE '2026-03-15') END AS age,
+@query("""SELECT DISTINCT ordinal, CASE WHEN regexp_full_match(trim(posted_on), '\\d{4}-\\d{2}-\\d{2}.*') THEN date_diff('day', try_cast(substr(trim(posted_on), 1, 10) AS DATE), DATE '2026-03-15') END::INTEGER AS age,
 coalesce(CASE WHEN regexp_full_match(trim(posted_on), '\\d{4}-\\d{2}-\\d{2}.*') THEN date_diff('day', try_cast(substr(trim(posted_on), 1, 10) AS DATE), DATE '2026-03-15') END > 180, false) AS is_stale FROM postings""".replace("\\\\", "\\"))
 def staleness(spark: SparkSession, d: str) -> DataFrame:
     """Age in days of postings whose date is written year first; an unknown age is not stale."""
@@ -282,12 +282,11 @@ def robots_longest_match(spark: SparkSession, d: str) -> DataFrame:
     return crawl.allowed(paths, rules, "tidebot").select("doc_id", "path", "allowed")
 
 
-@query("""SELECT event_id, round(date_diff('microsecond', lag(ts) OVER w, ts) / 1000000.0, 4) AS gap, round(greatest(0.0, 3600.0 - coalesce(date_diff('microsecond', lag(ts) OVER w, ts) / 1000000.0, 3600.0)), 4) AS wait
+@query("""SELECT event_id, date_diff('microsecond', lag(ts) OVER w, ts) AS gap, greatest(0, 3600000000 - coalesce(date_diff('microsecond', lag(ts) OVER w, ts), 3600000000)) AS wait
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def crawl_gap_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Time since the same source's event before, and what was missing to an hour."""
-    got = crawl.gaps(table(spark, d, "events"), "user_id", "ts", 3600.0, "event_id")
-    return got.select("event_id", F.round("gap", 4).alias("gap"), F.round("wait", 4).alias("wait"))
+    """Time since the same source's event before, and what was missing to an hour, in microseconds."""
+    return crawl.gaps(table(spark, d, "events"), "user_id", "ts", 3600.0, "event_id").select("event_id", "gap", "wait")
 
 
 @query("""SELECT event_id, max(CASE WHEN event_type = 'error' THEN epoch(ts) + greatest(900.0, value) END) OVER (PARTITION BY user_id ORDER BY epoch(ts), event_id ROWS UNBOUNDED PRECEDING) AS until FROM events""")
@@ -313,7 +312,7 @@ SPACE = "[\\t\\n\\x0B\\f\\r ]+"
 
 
 @query(f"""SELECT DISTINCT ordinal, sha256(trim(regexp_replace(replace(regexp_replace(replace(description, '&amp;', '&'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '{SPACE}', ' ', 'g'))) AS digest,
-length(trim(regexp_replace(replace(regexp_replace(replace(description, '&amp;', '&'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '{SPACE}', ' ', 'g'))) AS chars FROM postings WHERE description IS NOT NULL""")
+length(trim(regexp_replace(replace(regexp_replace(replace(description, '&amp;', '&'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '{SPACE}', ' ', 'g')))::INTEGER AS chars FROM postings WHERE description IS NOT NULL""")
 def html_strip(spark: SparkSession, d: str) -> DataFrame:
     """Descriptions without markup: length and digest."""
     t = X.strip_html(F.col("description"))
@@ -366,7 +365,7 @@ def json_props_decode(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.expr("try_variant_get(try_parse_json(props), '$.k', 'bigint')").alias("k"))
 
 
-@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '\\b((?:19|20|21)\\d{2})\\b', 1), x -> CAST(x AS INT)), x -> x BETWEEN 2020 AND 2035))), ',') AS years
+@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '\\b((?:19|20|21)\\d{2})\\b', 1), lambda x: CAST(x AS INT)), lambda x: x BETWEEN 2020 AND 2035))), ',') AS years
 FROM documents WHERE regexp_full_match(text, '[\\x0A\\x20-\\x7E]*') AND NOT regexp_matches(text, '\\b(?:19|20|21)\\d{2}\\s*-\\s*(?:19|20|21)\\d{2}\\b')""")
 def years_named(spark: SparkSession, d: str) -> DataFrame:
     """Years that texts name (plain ASCII texts without ranges)."""

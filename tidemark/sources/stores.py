@@ -25,10 +25,10 @@ class VersionedTable:
 
     def version(self) -> str | None:
         fs, jvm = self._fs()
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_current")
+        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.root}/CURRENT")
         if not fs.exists(pointer):
             return None
-        rows = self.spark.read.text(f"{self.root}/_current").collect()
+        rows = self.spark.read.text(f"{self.root}/CURRENT").collect()
         return rows[0][0].strip() if rows else None
 
     def read(self) -> DataFrame | None:
@@ -44,12 +44,12 @@ class VersionedTable:
         df.write.partitionBy(*partition_by).parquet(f"{self.root}/{v}")
         fs, jvm = self._fs()
         path = jvm.org.apache.hadoop.fs.Path
-        part = path(f"{self.root}/_next-{v}")
+        part = path(f"{self.root}/NEXT-{v}")
         out = fs.create(part, True)
         out.write(bytearray(v.encode()))
         out.close()
-        fs.delete(path(f"{self.root}/_current"), False)
-        if not fs.rename(part, path(f"{self.root}/_current")):
+        fs.delete(path(f"{self.root}/CURRENT"), False)
+        if not fs.rename(part, path(f"{self.root}/CURRENT")):
             raise OSError(f"{self.root}: the pointer couldn't be replaced")
         return v
 
