@@ -71,5 +71,5 @@ def latest_answers(answers: DataFrame, now: float | None = None, max_age: float
 def company_lines(lines: DataFrame) -> DataFrame:
     """Companies of text lines 'name,domain[,segment]': blank lines, comments (#) and lines with one field are skipped."""
     kept = lines.select(F.trim("value").alias("v")).where("v != '' AND NOT startswith(v, '#')")
-    f = F.transform(F.split("v", ","), F.trim)
+    f = F.transform(F.split("v", ","), lambda x: F.trim(x))
     return kept.where(F.size(f) >= 2).select(f[0].alias("name"), f[1].alias("domain"), F.coalesce(F.nullif(F.get(f, F.lit(2)), F.lit("")), F.lit("unsorted")).alias("segment"))
