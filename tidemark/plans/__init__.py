@@ -1 +1 @@
-"""tidemark.plans"""
+"""Whole runs put together from the operators."""

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only if a count proves that it has no more rows than this.
 BROADCAST_ROWS = 100_000
+#: Nor if its rows, written as JSON, have more bytes than this.
+BROADCAST_BYTES = 64 << 20
 #: Copies of the small side, and parts of each key of the large side, in a salted join.
 SALT = 16
 
@@ -20,14 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def counted(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``limit`` rows. Reads no more than it must to know."""
-    return df.select(F.lit(1)).limit(limit + 1).count() <= limit
+    """True if ``df`` has at most ``limit`` rows and BROADCAST_BYTES bytes. Reads no more rows than it must to know."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    got = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("bytes")).first()
+    return got["n"] <= limit and (got["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def guarded_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salt_by: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join a large side with one that is unique in ``on`` and usually small.
 
-    The small side is counted. Up to ``limit`` rows it is broadcast, so a hot key of the large side costs
+    The small side is counted and weighed. Up to ``limit`` rows and BROADCAST_BYTES it is broadcast, so a hot key of the large side costs
     nothing. Beyond it, each key of the large side is split by a hash of ``salt_by`` (all columns if not
     given) into SALT parts and the small side is repeated SALT times, so no key goes to one task.
     Null keys match nothing (a left join keeps their rows).
