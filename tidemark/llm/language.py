@@ -36,6 +36,7 @@ SENTENCE = re.compile(r"(?<=[.!?।…])\s+|\n+")
 WORDLESS = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|[\d_]+|[^\w\s]+(?<![ऀ-ॿ])")
 UNSURE = 0.05  # a sentence whose two nearest languages are closer than this hardly votes
 BATCH = 1 << 18  # characters that are hashed at once
+SLICE = 1 << 23  # characters of texts that are judged at once, or one text's
 STEP = 1 << 15  # n-grams whose weights are gathered at once
 
 
@@ -250,9 +251,15 @@ def detect(df: DataFrame, key: str, text: str, label: str, model: Model | None =
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), label_code(F.col(label)).alias("label")).where(F.col("text").rlike(r"\S"))
     kind = df.schema[key].dataType.simpleString()
 
+    def slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Parts of a batch of about SLICE characters, so that long texts don't add up in memory."""
+        part = batch["text"].str.len().cumsum() // SLICE
+        for _, rows in batch.groupby(part, sort=False):
+            yield rows
+
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Model(*known.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             flat: list[str] = []
             where: list[tuple[int, int]] = []
             for i, t in enumerate(batch["text"]):
