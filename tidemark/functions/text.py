@@ -36,9 +36,10 @@ def one_line(c: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     """Common entities decoded in a chain of literal replacements, '&amp;' last."""
+    out = c
     for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
 
 
 @F.pandas_udf(StringType())

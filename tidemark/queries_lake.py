@@ -311,8 +311,17 @@ def url_kind_route(spark: SparkSession, d: str) -> DataFrame:
 SPACE = "[\\t\\n\\x0B\\f\\r ]+"
 
 
-@query(f"""SELECT DISTINCT ordinal, sha256(trim(regexp_replace(replace(regexp_replace(replace(description, '&amp;', '&'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '{SPACE}', ' ', 'g'))) AS digest,
-length(trim(regexp_replace(replace(regexp_replace(replace(description, '&amp;', '&'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '{SPACE}', ' ', 'g')))::INTEGER AS chars FROM postings WHERE description IS NOT NULL""")
+def decoded(sql: str) -> str:
+    """SQL that decodes the common entities, in the order of the column function."""
+    for entity, char in X.ENTITIES:
+        sql = f"replace({sql}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return sql
+
+
+STRIPPED = f"trim(regexp_replace({decoded(f"regexp_replace({decoded('description')}, '<[^>]+>', ' ', 'g')")}, '{SPACE}', ' ', 'g'))"
+
+
+@query(f"WITH t AS (SELECT DISTINCT ordinal, {STRIPPED} AS t FROM postings WHERE description IS NOT NULL) SELECT ordinal, sha256(t) AS digest, length(t)::INTEGER AS chars FROM t")
 def html_strip(spark: SparkSession, d: str) -> DataFrame:
     """Descriptions without markup: length and digest."""
     t = X.strip_html(F.col("description"))
