@@ -28,6 +28,37 @@ def test_text(spark):
     assert spark.createDataFrame([("é&eacute;",), (None,)], "v string").select(X.decode_entities("v")).collect()[0][0] == "éé"
 
 
+def test_all_rows_by_brute_force(spark, tmp_path):
+    import re
+    import unicodedata
+
+    from tidemark.queries_lake import QUERIES
+
+    def plain(s):
+        s = re.sub("[‘’]", "'", unicodedata.normalize("NFKC", s or ""))
+        return re.sub(r"\s+", " ", re.sub("[\u2010-\u2015\u2212]", "-", re.sub("[“”]", '"', s))).strip().lower()
+
+    rows = [
+        (1, "Müller – Leiter Vertrieb", "Wir suchen: MÜLLER\u00a0—\u2003Leiter  Vertrieb (m/w/d)"), (2, "Ｓｅｎｉｏｒ Engineer", "a senior engineer"), (3, "oﬃce manager Köln", "Office\u2028Manager KÖLN"), (4, "सॉफ्टवेयर इंजीनियर", "हम सॉफ्टवेयर इंजीनियर खोज रहे हैं"),
+        (5, "Développeur principal", "rien"), (6, "Plain old engineer", "• a plain old engineer ©"), (7, None, "x"), (8, "Plain old engineer", None), (9, "kurz ü", "kurz ü"),
+    ]
+    spark.createDataFrame(rows, "ordinal bigint, title string, description string").write.parquet(f"{tmp_path}/postings.parquet")
+    want = {o: len(plain(q)) >= 12 and plain(q) in plain(p) for o, q, p in rows}
+    assert want[1] and want[2] and want[3] and want[4] and want[6] and not want[5]
+    assert {r["ordinal"]: r["quoted"] for r in QUERIES["quote_containment_all"](spark, str(tmp_path)).collect()} == want
+
+    def named(text):
+        found = {int(y) for y in re.findall(r"\b((?:19|20|21)\d{2})\b", text or "")}
+        for a, b in re.findall(r"\b((?:19|20|21)\d{2})\s*[-–—]\s*((?:19|20|21)\d{2})\b", text or ""):
+            found |= set(range(int(a), int(b) + 1)) if int(b) <= int(a) + 20 else set()
+        return ",".join(str(y) for y in sorted(found) if 2020 <= y <= 2035)
+
+    texts = ["für 2025", "2021 – 2024 • x", "2021-2023, then 2030", "2021\u00a0—\u00a02023", "2026-2024", "ab2025 2025年 é2026", None, "", "1990-2034 ©", "नमस्ते 2031"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["years"] for r in QUERIES["years_named_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: named(t) for i, t in enumerate(texts)} and got[1] == "2021,2022,2023,2024"
+
+
 def test_urls(spark):
     assert one(spark, "HTTPS://U@Boards.Lever.example:8/A/b?x#f", U.host) == "boards.lever.example:8"
     assert one(spark, "https://x.example", U.path) == "/" and one(spark, "https://x.example?q=1", U.path) == "/?q=1"

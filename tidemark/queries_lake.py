@@ -349,9 +349,18 @@ def hash_gate_history(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""WITH p AS (SELECT DISTINCT ordinal, lower(trim(regexp_replace(title, '[\t\n\x0B\f\r ]+', ' ', 'g'))) AS q, lower(trim(regexp_replace(description, '[\t\n\x0B\f\r ]+', ' ', 'g'))) AS b FROM postings WHERE title IS NOT NULL AND description IS NOT NULL AND regexp_full_match(title, '[\x20-\x7E]*') AND regexp_full_match(description, '[\x0A\x20-\x7E]*'))
 SELECT ordinal, length(q) >= 12 AND contains(b, q) AS quoted FROM p""")
 def quote_containment(spark: SparkSession, d: str) -> DataFrame:
-    """Whether a posting's title stands in its description word for word (plain ASCII texts)."""
-    rows = table(spark, d, "postings").where(F.col("title").rlike(r"^[\x20-\x7E]*$") & F.col("description").rlike(r"^[\x0A\x20-\x7E]*$"))
-    return rows.select("ordinal", X.quoted_in(F.col("title"), F.col("description")).alias("quoted")).distinct()
+    """Those of quote_containment_all that SQL can check: plain ASCII texts."""
+    return quoted(table(spark, d, "postings").where(F.col("title").rlike(r"^[\x20-\x7E]*$") & F.col("description").rlike(r"^[\x0A\x20-\x7E]*$")))
+
+
+@query()
+def quote_containment_all(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a posting's title stands in its description word for word; false where either is missing."""
+    return quoted(table(spark, d, "postings"))
+
+
+def quoted(postings: DataFrame) -> DataFrame:
+    return postings.select("ordinal", F.coalesce(X.quoted_in(F.col("title"), F.col("description")), F.lit(False)).alias("quoted")).distinct()
 
 
 @query("SELECT DISTINCT lower(regexp_extract(evidence, '^https?://(?:www\\.)?([^/.]+)', 1)) AS token, platform FROM registry WHERE regexp_matches(evidence, '^https?://')")
@@ -377,9 +386,19 @@ def json_props_decode(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '\\b((?:19|20|21)\\d{2})\\b', 1), lambda x: CAST(x AS INT)), lambda x: x BETWEEN 2020 AND 2035))), ',') AS years
 FROM documents WHERE regexp_full_match(text, '[\\x0A\\x20-\\x7E]*') AND NOT regexp_matches(text, '\\b(?:19|20|21)\\d{2}\\s*-\\s*(?:19|20|21)\\d{2}\\b')""")
 def years_named(spark: SparkSession, d: str) -> DataFrame:
-    """Years that texts name (plain ASCII texts without ranges)."""
+    """Those of years_named_all that SQL can check: plain ASCII texts without ranges."""
     rows = table(spark, d, "documents").where(F.col("text").rlike(r"^[\x0A\x20-\x7E]*$") & ~F.col("text").rlike(r"\b(?:19|20|21)\d{2}\s*-\s*(?:19|20|21)\d{2}\b"))
-    return rows.select("doc_id", F.array_join(X.years_named(F.col("text")), ",").alias("years"))
+    return years(rows)
+
+
+@query()
+def years_named_all(spark: SparkSession, d: str) -> DataFrame:
+    """Years that texts name, ranges filled; '' where the text is missing."""
+    return years(table(spark, d, "documents"))
+
+
+def years(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", F.array_join(X.years_named(F.col("text")), ",").alias("years"))
 
 
 @query("SELECT * FROM registry QUALIFY row_number() OVER (ORDER BY ordinal, platform, token, company, segment, source, evidence) <= 25")
