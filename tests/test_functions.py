@@ -28,6 +28,31 @@ def test_text(spark):
     assert spark.createDataFrame([("é&eacute;",), (None,)], "v string").select(X.decode_entities("v")).collect()[0][0] == "éé"
 
 
+def test_every_entity_is_decoded(spark):
+    import html
+    import random
+    import re
+
+    def strip(s):
+        return " ".join(html.unescape(re.sub(r"<[^>]+>", " ", html.unescape(s))).split())
+
+    assert one(spark, "Caf&eacute; M&uuml;ller &#8211; &#x27;x&rsquo;", X.strip_html) == "Café Müller – 'x’"
+    assert one(spark, "<p>M&uuml;ller&#160;&#8211; A&amp;eacute;</p>", X.visible_text) == "Müller – A&eacute;"
+    feed = "<rss><item><g:id>9</g:id><title>Caf&eacute; &#x27;x&rsquo;</title></item></rss>"
+    assert [r["title"] for r in payloads.sitemap(spark.createDataFrame([("a", feed)], "token string, payload string")).collect()] == ["Café 'x’"]
+    job = '{"jobs": [{"id": 1, "title": "T", "content": "&lt;p&gt;Z&amp;uuml;rich&lt;/p&gt;"}]}'
+    answers = spark.createDataFrame([("greenhouse", "t", 1, job)], "platform string, token string, page int, payload string")
+    assert [r["description"] for r in payloads.parse(answers).collect()] == ["Zürich"]
+    random.seed(3)
+    parts = ["&eacute;", "&amp;", "&lt;b&gt;", "&#39;", "&#x27;", "&nbsp;", "&#160;", "&copy", "&amp;#8211;", "&amp;amp;", "R&D", "&", "amp;", "lt;", "#39;", "<p>", " ", "x", "&rsquo;", "&hellip;"]
+    texts = ["".join(random.choices(parts, k=random.randint(1, 6))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wrong = [(r[0], r[1], strip(r[0])) for r in df.select("t", X.strip_html(F.col("t"))).collect() if r[1] != strip(r[0])]
+    assert wrong == []
+    wrong = [(r[0], r[1]) for r in df.select("t", X.unescape(F.col("t"))).collect() if r[1].replace("\xa0", " ") != html.unescape(r[0]).replace("\xa0", " ")]
+    assert wrong == []
+
+
 def test_all_rows_by_brute_force(spark, tmp_path):
     import re
     import unicodedata

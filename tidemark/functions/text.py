@@ -10,8 +10,10 @@ from pyspark.sql.types import StringType
 # Elements whose content isn't text, and elements that end a line.
 DROPPED = ["script", "style", "noscript", "svg", "template", "iframe", "head"]
 LINE_ENDS = "p|div|br|li|tr|h[1-6]|section|article|header|footer|nav|ul|ol|table|dt|dd|blockquote|option"
-# The entities that are decoded on the JVM; all others need decode_entities.
+# The entities that are decoded on the JVM; texts with any other go through decode_entities.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&")]
+# What else can be an entity, at once or after '&amp;' is decoded; such texts are decoded whole, so that nothing is decoded twice.
+OTHER = r"&(?:amp;)*(?!(?:" + "|".join(e[1:-1] for e, _ in ENTITIES) + r");)(?:#[0-9xX]|[A-Za-z])"
 # What Python's \s and str.split() take for a blank, more than \s here.
 BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Whole lines that say nothing about a page's content.
@@ -37,11 +39,14 @@ def one_line(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Common entities decoded in a chain of literal replacements, '&amp;' last."""
-    out = c
+    """Entities decoded once: only common ones in a chain of literal replacements, '&amp;' last; else by decode_entities."""
+    return F.when(F.contains(c, F.lit("&")), F.coalesce(decode_entities(F.when(c.rlike(OTHER), c)), common(c))).otherwise(c)
+
+
+def common(c: Column) -> Column:
     for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
 
 
 @F.pandas_udf(StringType())
@@ -54,8 +59,19 @@ def decode_entities(s: pd.Series) -> pd.Series:
 
 def strip_html(c: Column) -> Column:
     """Markup removed in one line: decoded, tags to blanks, decoded again; '' for null."""
-    tagless = F.regexp_replace(unescape(F.coalesce(c, F.lit(""))), r"<[^>]+>", " ")
-    return one_line(unescape(tagless))
+    decoded = lambda t: F.when(F.contains(t, F.lit("&")), common(t)).otherwise(t)
+    text = F.coalesce(c, F.lit(""))
+    tagless = F.regexp_replace(decoded(text), r"<[^>]+>", " ")
+    return one_line(F.coalesce(strip_entities(F.when(text.rlike(OTHER), text)), decoded(tagless)))
+
+
+@F.pandas_udf(StringType())
+def strip_entities(s: pd.Series) -> pd.Series:
+    """strip_html() for texts with any HTML entity; blanks stay."""
+    import html
+    import re
+
+    return s.map(lambda t: html.unescape(re.sub(r"<[^>]+>", " ", html.unescape(t))), na_action="ignore")
 
 
 def visible_text(c: Column) -> Column:
