@@ -46,6 +46,15 @@ def test_matching(spark):
     assert match_entities(spark.createDataFrame(rows[:3], SCHEMA)).count() == 0
 
 
+def test_typo_among_crowded_keys(spark):
+    """More than WINDOW names stand between the two spellings in the order of names and in that of reversed names."""
+    crowd = [f"quobre{c}a" for c in "bcdfghklm"] + [f"{c}abezani" for c in "bcdfghklm"]
+    rows = [("b", f"x{i}", [f"{n} Health"], None, None, None, None, None) for i, n in enumerate(crowd)]
+    rows += [("a", "1", ["Quobrazani Energy"], None, None, None, None, None), ("b", "p1", ["Quobrizani Energy"], None, None, None, None, None)]
+    got = {(r["id_a"], r["id_b"]) for r in match_entities(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {("1", "p1")}
+
+
 def test_conflicting_trade_never_matches():
     x = {"cores": ["quobra"], "slugs": [], "hosts": ["quobra"], "trade": "energy", "place": "1", "system": "lever", "segment": None}
     assert compare(x, x | {"trade": "health"}) == 0.0 and compare(x, x) > 0.95

@@ -1,8 +1,9 @@
 """Entities of two tables matched without a shared key.
 
-Sorted neighbourhood: each record gives several sort keys (names, hosts and slugs, forwards and backwards);
-distinct keys are range-sorted over the cluster and each meets its neighbours within a window. The records
-of neighbouring keys are compared by weighted similarities of their fields. Records of one side that are
+Sorted neighbourhood: each record gives sort keys of several kinds (names, hosts and slugs; names alone; names
+after their trade, city or platform, forwards and backwards; names after their consonants; see sort_keys()).
+Each kind has its own order: its distinct keys are range-sorted over the cluster and each meets its neighbours
+within a window. The records of neighbouring keys are compared by weighted similarities of their fields. Records of one side that are
 the same entity are grouped; groups of both sides are then assigned one to one so that the total confidence
 is greatest, and groups left over join the entity of an assigned pair they fit.
 """
@@ -173,6 +174,19 @@ def compare(x: dict, y: dict) -> float:
     return round(0.6 * base + 0.2 * trade + 0.08 * city + 0.07 * system + 0.05 * segment, 4)
 
 
+def sort_keys(cores: list[str], slugs: list[str], trade: str | None, place: str | None, system: str | None) -> list[tuple[int, str]]:
+    """(order, key) of a record; ``slugs`` with hosts. Names are also those that slugs and hosts seem to have."""
+    out = [(i, k[::step]) for k in [*cores, *slugs] if len(k) > 2 for i, step in ((0, 1), (1, -1))]
+    for n in dict.fromkeys([*cores, *(guess(k)[0] for k in slugs)]):
+        if len(n) < 3:
+            continue
+        out += [(2, n), (3, n[::-1]), (4, f"{re.sub('[aeiouy]', '', n)} {n}")]
+        for i, lead in ((5, trade), (7, place), (9, system)):
+            if lead:
+                out += [(i, f"{lead} {n}"), (i + 1, f"{lead} {n[::-1]}")]
+    return list(dict.fromkeys(out))
+
+
 FIELDS = "side string, id string, cores array<string>, slugs array<string>, hosts array<string>, trade string, place string, system string, segment string"
 
 
@@ -210,13 +224,19 @@ def described(df: DataFrame) -> DataFrame:
 def neighbours(records: DataFrame) -> DataFrame:
     """Pairs of records whose keys stand within WINDOW places of each other in one of the sorted orders.
 
+    Pairs whose trades are known and differ are left out, as compare() gives them 0 whatever else they share.
     Records of different sides meet each other. Those of one side that share key and trade meet their first
     alone, and these first ones meet each other, so that a firm with many records gives as many pairs.
     """
     key = F.col("key")
-    forward = F.concat(F.col("cores"), F.col("slugs"))
-    keys = records.select("side", "id", F.coalesce("trade", F.lit("")).alias("trade"), F.explode(F.array_distinct(forward)).alias("key")).where(F.length("key") > 2)
-    both = keys.withColumn("order", F.lit(0)).unionByName(keys.withColumn("key", F.reverse("key")).withColumn("order", F.lit(1)))
+
+    @F.pandas_udf("array<struct<order:int,key:string>>")
+    def kinds(cores: pd.Series, slugs: pd.Series, trade: pd.Series, place: pd.Series, system: pd.Series) -> pd.Series:
+        rows = zip(cores, slugs, trade, place, system, strict=True)
+        return pd.Series([[{"order": i, "key": k} for i, k in sort_keys(list(c), list(g), t, p, y)] for c, g, t, p, y in rows])
+
+    made = F.explode(kinds("cores", "slugs", "trade", "place", "system")).alias("k")
+    both = records.select("side", "id", F.coalesce("trade", F.lit("")).alias("trade"), made).select("side", "id", "trade", "k.order", "k.key")
     both = cut(both)
     distinct = both.select("order", "key").distinct()
     placed = distinct.repartitionByRange("order", "key").sortWithinPartitions("order", "key").withColumn("at", F.monotonically_increasing_id())
@@ -231,8 +251,9 @@ def neighbours(records: DataFrame) -> DataFrame:
     steps = F.explode(F.array(*[F.lit(i) for i in range(WINDOW + 1)]))
 
     def meet(df: DataFrame) -> DataFrame:
-        ahead = df.withColumn("step", steps).select("order", (F.col("at") + F.col("step")).alias("at"), F.col("side").alias("side_x"), F.col("id").alias("id_x"))
-        return ahead.join(df.select(*spot, F.col("side").alias("side_y"), F.col("id").alias("id_y")), spot)
+        ahead = df.withColumn("step", steps).select("order", (F.col("at") + F.col("step")).alias("at"), F.col("side").alias("side_x"), F.col("id").alias("id_x"), F.col("trade").alias("trade_x"))
+        met = ahead.join(df.select(*spot, F.col("side").alias("side_y"), F.col("id").alias("id_y"), F.col("trade").alias("trade_y")), spot)
+        return met.where("trade_x = trade_y OR trade_x = '' OR trade_y = ''")
 
     across = meet(placed).where("side_x != side_y").select(name("side_x", "id_x").alias("x"), name("side_y", "id_y").alias("y"))
     along = meet(firsts).where("side_x = side_y").select(name("side_x", "id_x").alias("x"), name("side_y", "id_y").alias("y"))
