@@ -108,6 +108,19 @@ def test_payloads(spark):
     assert [(r["token"], r["job_id"], r["title"], r["location"]) for r in got] == [("a", "9", "Cook", "Oslo, NO"), ("b", "777", "", "")]
 
 
+def test_sitemap_addresses_give_title_and_place(spark):
+    slugs = [
+        ("Bengaluru-Senior-Analyst-IND-560001", "Senior Analyst", "Bengaluru, India 560001"), ("Navi-Mumbai-Clerk-IND-400701", "Clerk", "Navi Mumbai, India 400701"), ("Lead-SAP", "Lead SAP", ""), ("Pune", "Pune", ""),
+        ("Executive-with-Dutch-ROU", "Executive with Dutch", "Romania"), ("C%2B%2B+Dev-Z%C3%BCrich-CHE-8001", "C+++Dev Zürich", "Switzerland 8001"), ("Cook-xyz-12345", "Cook", "XYZ 12345"), ("Baker", "Baker", ""),
+    ]
+    maps = "<urlset>" + "".join(f"<url><loc>https://c.example/job/{s}/{i}/</loc></url>" for i, (s, _, _) in enumerate(slugs)) + "<url><loc>https://c.example/about</loc></url></urlset>"
+    feed = "<rss><item><g:id>90</g:id><title>Cook</title><link>https://c.example/job/Pune-Baker/90/</link></item></rss>"
+    answers = spark.createDataFrame([("a", maps), ("b", feed)], "token string, payload string")
+    got = {(r["token"], r["job_id"]): (r["title"], r["location"]) for r in payloads.sitemap(answers, named=True).collect()}
+    assert got == {("a", str(i)): (t, p) for i, (_, t, p) in enumerate(slugs)} | {("b", "90"): ("Cook", "")}
+    assert payloads.sitemap(answers).count() == 9
+
+
 def test_stores(spark, tmp_path):
     t = VersionedTable(spark, f"file://{tmp_path}/t")
     assert t.read() is None
