@@ -87,3 +87,18 @@ def test_tiers_and_gate(spark):
     now = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None), ("d", "4")], "u string, h string")
     state = spark.createDataFrame([("a", "1"), ("b", "9"), ("c", "3")], "u string, h string")
     assert {r["u"]: r["outcome"] for r in pages.gate(now, state, "u", "h").collect()} == {"a": "unchanged", "b": "changed", "c": "failed", "d": "new"}
+
+
+def test_every_run_is_merged(spark, tmp_path):
+    from tidemark.queries_lake import QUERIES
+
+    runs = [(f"r{n}", "l", n) for n in range(1, 6)]
+    # k closes in run 2, lives again in 3 without a title, and closes in 4; m enters in 5.
+    posts = [("r1", "p", "t", "k", "Cook", 1), ("r1", "p", "t", "o", "Other", 2), ("r2", "p", "t", "o", "Other", 3), ("r3", "p", "t", "k", "", 4), ("r3", "p", "t", "o", "Renamed", 5), ("r4", "p", "t", "o", "", 6), ("r5", "p", "t", "m", "New", 7)]
+    read = [(f"r{n}", "p", "t", 200, "cut" if n == 5 else None, None, 2, None) for n in range(1, 6)]
+    for name, rows, schema in (("runs", runs, "run_id string, lane string, run_no int"), ("postings", posts, "run_id string, platform string, token string, job_id string, title string, ordinal bigint"),
+                               ("board_reads", read, "run_id string, platform string, token string, status int, error string, reported_total int, n_postings int, extra string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r["job_id"], r["title"], *[r[c] for c in lake.LIFE]) for r in QUERIES["lake_upsert_all"](spark, str(tmp_path)).collect()}
+    assert got == {("K", "Cook", 1, 3, False, 4), ("O", "Renamed", 1, 4, True, None), ("M", "New", 5, 5, True, None)}
+    assert {(j, *life) for j, _, *life in got} == {(r["job_id"], *[r[c] for c in lake.LIFE]) for r in QUERIES["lake_history"](spark, str(tmp_path)).collect()}

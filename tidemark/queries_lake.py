@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as X
 from tidemark.functions import urls as U
 from tidemark.operators import crawl, dedupe, lake, pages, reads, tiers
-from tidemark.scale import guarded_join, table
+from tidemark.scale import cut, guarded_join, table
 from tidemark.sources import payloads
 from tidemark.streaming import lake as streams
 
@@ -158,6 +158,21 @@ def lake_upsert(spark: SparkSession, d: str) -> DataFrame:
     return lake.upsert(store, run(2), keys, complete(spark, d).where("run_no = 2"), ["lane", *BOARD], F.lit(2), filled=["title"])
 
 
+@query()
+def lake_upsert_all(spark: SparkSession, d: str) -> DataFrame:
+    """The store after all runs of each lane have been merged into it, one after the other."""
+    keys = ["lane", *BOARD, "job_id"]
+    rows = table(spark, d, "postings").select("run_id", *BOARD, job().alias("job_id"), "title", "ordinal").where("job_id IS NOT NULL")
+    rows = guarded_join(rows, lanes(spark, d), ["run_id"], "inner", "ordinal").select("run_no", *keys, "title", "ordinal")
+    rows = cut(dedupe.keep_first(rows, ["run_no", *keys], [F.col("ordinal")]).select("run_no", *keys, "title"))
+    reads_ = cut(complete(spark, d))
+    store = rows.limit(0).select(*keys, "title", *[F.lit(None).cast(t).alias(c) for c, t in zip(lake.LIFE, ("int", "int", "boolean", "int"), strict=True)])
+    for (n,) in sorted(lanes(spark, d).select("run_no").distinct().dropna().collect()):
+        at = F.col("run_no") == n
+        store = cut(lake.upsert(store, rows.where(at).drop("run_no"), keys, reads_.where(at), ["lane", *BOARD], F.lit(n), filled=["title"]))
+    return store
+
+
 @query("""WITH l AS (SELECT DISTINCT run_id, lane, run_no FROM runs), j AS (SELECT platform, token, upper(trim(job_id)) AS job_id, count(DISTINCT ordinal) AS n FROM postings WHERE trim(job_id) <> '' GROUP BY 1, 2, 3),
 x AS (SELECT platform, token, upper(trim(job_id)) AS job_id, arg_max(CASE WHEN trim(title) = '' OR title IS NULL THEN 'no_title' ELSE 'no_place' END, ordinal) AS reason FROM postings
   WHERE trim(job_id) <> '' AND platform <> '' AND token <> '' AND (title IS NULL OR trim(title) = '' OR location IS NULL) GROUP BY 1, 2, 3)
