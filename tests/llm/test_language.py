@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.language import NOTATIONS, detect, fit, label_code, letters, paragraphs
+from tidemark.llm.language import NOTATIONS, detect, fit, frequencies, hashed, label_code, letters, paragraphs, sample, segments, trained
 
 TEXTS = {
     "en": "The process has two steps and we answer every application. You help new people learn how the service works. Most days you write down what the team decided.",
@@ -48,3 +48,42 @@ def test_held_out_accuracy():
     m = model()
     held = {"en": "We decided how people learn new steps of the process every day.", "de": "Bitte nenne den Kollegen deinen Standort und die Daten.", "fr": "Merci pour votre lettre, notre équipe recherche une personne.", "es": "La empresa termina el plazo y envía un currículum antes."}
     assert m.languages(list(held.values()))[0] == list(held)
+
+
+def test_same_model_for_repeated_tables(spark):
+    random.seed(5)
+    rows = [(c, ". ".join(random.sample(t.split(". "), 2))) for c, t in TEXTS.items() for _ in range(6)] + [("sv", TEXTS["en"]), ("de", None), ("fr", " \n ")]
+    once = spark.createDataFrame([(i, t, c) for i, (c, t) in enumerate(rows)], "k int, text string, label string")
+    more = spark.createDataFrame([(1000 * j + i, t, c) for j in range(10) for i, (c, t) in enumerate(rows)], "k int, text string, label string")
+    assert sample(once, "text", "label") == sample(more, "text", "label")
+    one, ten = frequencies(once, "text"), frequencies(more, "text")
+    assert ten[1] == 10 * one[1] and (ten[0] == 10 * one[0]).all()
+    a, b = trained(once, "text", "label"), trained(more, "text", "label")
+    assert a.codes.tolist() == b.codes.tolist()
+    held = [s for t in TEXTS.values() for s in t.split(". ")]
+    assert a.languages(held)[0] == b.languages(held)[0]
+
+
+def test_wrong_labels_stay_out_of_the_centroids():
+    random.seed(7)
+    right = [(c, "\n".join(random.sample(t.split(". "), 2)), 1.0) for c, t in TEXTS.items() for _ in range(30)]
+    wrong = [("fr", TEXTS["en"].split(". ")[i % 3], 1.0) for i in range(8)]  # fewer than the label's own texts
+    m = fit([*right, *wrong])
+    assert m.languages(TEXTS["en"].split(". "))[0] == ["en"] * 3 and m.languages(TEXTS["fr"].split(". "))[0] == ["fr"] * 3
+
+
+def test_counts_by_brute_force(spark):
+    texts = ["Ab cd. Ab cd.\n\nxyz 12", "", None, "xyz", "REQ-12 44/7"]
+    held, total = frequencies(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    assert total == 4  # ab cd twice, xyz twice; digits and codes are no words
+    row, col, times = hashed([" ab cd ", " xyz "])
+    for r, c in zip(row, col, strict=True):
+        assert held[c] == 2 * len(set(row[col == c]))
+    assert sum(times[row == 1]) == len(" xyz ") * 3 - (1 + 2 + 3)
+
+
+def test_one_unsure_paragraph_makes_no_mixed_document():
+    m = model()
+    out = segments(m, [1, 2], [f"{TEXTS['en']}\n\nOk.\n\n{TEXTS['en']}", f"{TEXTS['en']}\n\n{TEXTS['es']}"], ["en", "en"])
+    assert not out[out.key == 1].mixed.any() and out[out.key == 2].mixed.all()
+    assert segments(m, [], [], []).empty
