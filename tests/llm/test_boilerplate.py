@@ -1,4 +1,4 @@
-from tidemark.llm.boilerplate import boilerplate_lines, pieces, rendered, site_lines
+from tidemark.llm.boilerplate import boilerplate_lines, laid_out, pieces, rendered, site_lines
 
 PAGE = """Home | Careers | Log in
 Careers / Cook (Staff)
@@ -40,3 +40,19 @@ def test_operator(spark):
     n = len(site_lines(PAGE))
     assert len(got) == 3 * n + 1 and (None, 1) in got and not [g for g in got if g[0] in (3, 4, 5)]
     assert boilerplate_lines(df.limit(0), "v", "k").count() == 0
+
+
+def test_layout_alone():
+    def placed(page):
+        texts = {}
+        for p in pieces(page):
+            texts[p.line] = texts.get(p.line, "") + p.text
+        return sorted(laid_out(sorted(texts), texts))
+
+    head = "Eins\nZwei\nDrei\n\nKoch\nBacken\nWir backen jeden Tag frisches Brot.\nLohn: 12\nFünf  Sechs  Sieben"
+    assert placed(head) == [1, 2, 3, 9]
+    assert placed("Un\nDeux\nTrois\nCuisinier\nMissions\nVous faites le pain de chaque jour.") == [1, 2, 3]
+    assert placed("Eins / Koch\nKoch\nOrt: Bonn\nWir backen jeden Tag frisches Brot.\nMerken\nNach oben") == [1, 5, 6]
+    assert placed("Koch\nBacken\nWir backen jeden Tag frisches Brot.\nMerken") == []  # one short line may be the page's own
+    assert placed("") == [] and laid_out([], {}) == set()
+    assert rendered("<ul><li>One<li>- Two</ul>x", bullets=True) == "- One\n- Two\nx"

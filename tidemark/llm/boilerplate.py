@@ -1,9 +1,11 @@
 """The main body of web pages: layout-aware rendering, then a decision on each line.
 
 A tree builder with implied end tags and visibility rules turns markup into visible text that keeps block
-spacing, lists and table cells in columns, and knows the source line of each piece. Lines are then judged
-by what they are (menus, paths, buttons, consent notices, prompts, lists of other roles, legal footers)
-and by where they stand. Nothing is judged by how often it recurs.
+spacing, lists and table cells in columns, and knows the source line of each piece. The rendered lines are
+then judged twice: by where they stand and how they are laid out (runs of short lines before the first
+sentence, rows of short items, paths that end in the page's title, what follows the last sentence), and by
+what they say (menus, buttons, consent notices, prompts, lists of other roles, legal footers). Nothing is
+judged by how often it recurs.
 """
 
 from __future__ import annotations
@@ -37,28 +39,28 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|disp
 class Piece:
     """Visible text on one source line: its text, whether the site's own elements hold it, and how it begins."""
 
-    __slots__ = ("block", "cell", "line", "site", "text")
+    __slots__ = ("block", "cell", "item", "line", "site", "text")
 
-    def __init__(self, line: int, text: str, site: bool, block: bool, cell: int) -> None:
-        self.line, self.text, self.site, self.block, self.cell = line, text, site, block, cell
+    def __init__(self, line: int, text: str, site: bool, block: bool, cell: int, item: bool = False) -> None:
+        self.line, self.text, self.site, self.block, self.cell, self.item = line, text, site, block, cell, item
 
 
 def pieces(source: str) -> list[Piece]:
     """Visible text of ``source`` in order, cut at source lines and blocks."""
     out: list[Piece] = []
     stack: list[tuple[str, bool, bool]] = []  # (tag, unseen, site)
-    line, at, fresh, cell, raw_end = 1, 0, True, -1, None
+    line, at, fresh, cell, item = 1, 0, True, -1, False
 
     def text(part: str) -> None:
-        nonlocal line, fresh
+        nonlocal line, fresh, item
         unseen, site = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         for i, row in enumerate(part.split("\n")):
             if i:
                 line += 1
                 fresh = True
             if not unseen and row.strip():
-                out.append(Piece(line, htmllib.unescape(row), site, fresh, cell))
-                fresh = False
+                out.append(Piece(line, htmllib.unescape(row), site, fresh, cell, item))
+                fresh = item = False
 
     def close(names: set[str], stop: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -84,6 +86,7 @@ def pieces(source: str) -> list[Piece]:
             continue
         if tag in BLOCKS or tag == "br":
             fresh = True
+            item = tag == "li" and not slash
         if slash:
             if tag == "tr":
                 cell = -1
@@ -113,15 +116,15 @@ def pieces(source: str) -> list[Piece]:
     return out
 
 
-def rendered(source: str) -> str:
-    """All visible text: one line per block, a blank one between source paragraphs, '- ' before list items, cells in columns."""
+def rendered(source: str, bullets: bool = False) -> str:
+    """All visible text: one line per block, a blank one between source paragraphs, cells in columns; with ``bullets`` '- ' before list items."""
     rows: list[tuple[int, list[str]]] = []
     for p in pieces(source):
         piece = re.sub(r"\s+", " ", p.text).strip()
         if p.cell > 0 and rows:
             rows[-1][1].append(piece)
         elif p.block or not rows:
-            rows.append((p.line, [piece]))
+            rows.append((p.line, [f"- {piece}" if bullets and p.item and not BULLET.match(piece) else piece]))
         else:
             rows[-1][1][-1] += " " + piece
     widths: dict[int, int] = {}
@@ -234,6 +237,58 @@ def is_site(text: str) -> bool:
     return len(words) > 1 and all(w in LANGUAGES for w in words)
 
 
+SENTENCE_END = re.compile(r"[.!?…।][\"”’)\]]*$")
+FACT = re.compile(r"^[^\W\d_][^:|]{0,40}:\s")
+ROW = re.compile(r"\s*[|·•>›»▸]\s*|\s{2,}|\t")
+SENTENCE_WORDS, LONG_WORDS, ITEM_WORDS = 3, 14, 6
+LEAST_RUN = 3  # short lines that make a run at the head of a page
+
+
+def shape(text: str) -> str:
+    """What a rendered line looks like: 's' a sentence, 'f' a fact, with its label or a figure, 'r' a row of short items, 'i' a short line, 'o' another."""
+    p = plain(text)
+    size = len(p.split())
+    if size >= LONG_WORDS or size >= SENTENCE_WORDS and SENTENCE_END.search(p):
+        return "s"
+    if FACT.match(f"{p} ") or OWN_LABEL.match(p) or re.search(r"\d", p) and not p.startswith(("©", "(c)")):
+        return "f"
+    items = [x for x in ROW.split(p) if x]
+    if len(items) > 2 and all(len(x.split()) <= 4 for x in items):
+        return "r"
+    return "i" if size <= ITEM_WORDS else "o"
+
+
+def laid_out(numbers: list[int], texts: dict[int, str]) -> set[int]:
+    """The lines that their place and layout alone tell to be of the site. numbers: of the lines with visible text, in order.
+
+    Rows of three and more short items; in the lines before the first sentence or fact, a run of short lines
+    up to a blank line, or all but the last two (title and heading) of a longer run; a path whose last part
+    is a later line; and what comes after the last sentence, up to a fact or an own heading.
+    """
+    kind = {n: shape(texts[n]) for n in numbers}
+    site = {n for n in numbers if kind[n] == "r"}
+    sentences = [n for n in numbers if kind[n] == "s"]
+    first = next((k for k, n in enumerate(numbers) if kind[n] in "sf"), len(numbers))
+    head = numbers[:first]
+    gap = next((k for k in range(1, len(head)) if head[k] > head[k - 1] + 1), 0)
+    if gap >= LEAST_RUN:
+        site.update(head[:gap])
+    elif len(head) >= LEAST_RUN + 2:
+        site.update(head[:-2])
+    later = {plain(texts[n]): n for n in numbers}
+    for n in numbers[: first + 1]:
+        parts = [x for x in re.split(r"\s*[>/»›▸]\s*", plain(texts[n])) if x]
+        if len(parts) > 1 and later.get(parts[-1], 0) > n:
+            site.add(n)
+    if sentences:
+        k = len(numbers)
+        while k and numbers[k - 1] > sentences[0] and (kind[numbers[k - 1]] in "iro" or numbers[k - 1] in site):
+            k -= 1
+        if len(numbers) - k > 1:
+            site.update(numbers[k:])
+    return site
+
+
 def site_lines(source: str | None, memory: dict | None = None) -> list[int]:
     """Numbers of the lines of ``source`` that aren't blank and not the main text. memory: of lines met before."""
     if source is None:
@@ -246,6 +301,7 @@ def site_lines(source: str | None, memory: dict | None = None) -> list[int]:
         # Words of one line that stand in separate cells or blocks keep their distance.
         seen[p.line] = (text + ("   " if text and (p.block or p.cell > 0) else "") + p.text, site and p.site)
     numbers = [n for n, row in enumerate(raw, 1) if row.strip()]
+    placed = laid_out([n for n in numbers if n in seen], {n: seen[n][0] for n in seen})
     site: dict[int, bool] = {}
     listing = False
     for n in numbers:
@@ -262,7 +318,7 @@ def site_lines(source: str | None, memory: dict | None = None) -> list[int]:
         if opens:
             site[n] = listing = True
             continue
-        site[n] = inside or alone
+        site[n] = inside or alone or n in placed
         if listing and not site[n]:
             short = len(t) <= 90 and len(t.split()) <= 12 and not re.search(r"[.!?;]$", t)
             listing = short and not OWN_LABEL.match(t)
