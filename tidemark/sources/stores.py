@@ -2,56 +2,105 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 class VersionedTable:
-    """A table below ``root``: each write makes a new version folder, then a pointer file names it.
+    """A table below ``root``: each write makes new version folders, then a numbered pointer file that names them.
 
-    Readers keep the version they opened; a failed write leaves the pointer as it was, so a table may be
-    read and rewritten in one plan.
+    A pointer is written aside and renamed into place, which is one step; none is ever replaced. Readers
+    take the highest pointer that can be read, so a write that fails at any point leaves the table as it
+    was, and two writers can't both make the same next pointer. Readers keep the version they opened, so a
+    table may be read and rewritten in one plan. With ``buckets`` the rows are spread by a hash of ``by``
+    and a write may replace some buckets alone (see replace()).
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    KEPT = 3  # pointers that stay behind the newest
+
+    def __init__(self, spark: SparkSession, root: str, by: list[str] | None = None, buckets: int = 1) -> None:
+        self.spark, self.root, self.by, self.buckets = spark, root.rstrip("/"), list(by or []), buckets if by else 1
+
+    def _path(self, name: str = ""):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
 
     def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self) -> list[int]:
+        fs, folder = self._fs(), self._path("_pointers")
+        if not fs.exists(folder):
+            return []
+        return sorted((int(n) for f in fs.listStatus(folder) if (n := f.getPath().getName()).isdigit()), reverse=True)
+
+    def pointer(self) -> dict | None:
+        """What the highest readable pointer says: ``number``, ``parts`` (bucket to folder), ``note``; None without any."""
+        fs = self._fs()
+        for number in self._numbers():
+            try:
+                text = "\n".join(r[0] for r in self.spark.read.text(f"{self.root}/_pointers/{number:012d}").collect())
+                got = json.loads(text) | {"number": number}
+                if all(fs.exists(self._path(p)) for p in got["parts"].values()):
+                    return got
+            except (ValueError, KeyError, AttributeError):
+                continue
+        return None
 
     def version(self) -> str | None:
-        fs, jvm = self._fs()
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.root}/CURRENT")
-        if not fs.exists(pointer):
-            return None
-        rows = self.spark.read.text(f"{self.root}/CURRENT").collect()
-        return rows[0][0].strip() if rows else None
+        got = self.pointer()
+        return None if got is None else str(got["number"])
 
-    def read(self) -> DataFrame | None:
-        """The current version, None if there is none or its pointer is broken."""
-        v = self.version()
-        return self.spark.read.parquet(f"{self.root}/{v}") if v else None
+    def bucket(self) -> Column:
+        """The bucket of a row."""
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int") if self.by else F.lit(0)
 
-    def write(self, df: DataFrame, partition_by: list[str] = (), refuse_empty: bool = False) -> str:
-        """Write a new version and point to it. With ``refuse_empty`` an empty table raises and changes nothing."""
+    def read(self, only: list[int] | None = None) -> DataFrame | None:
+        """The current version, or some of its buckets; None if there is none or no pointer can be read."""
+        got = self.pointer()
+        if got is None:
+            return None
+        parts = [p for b, p in sorted(got["parts"].items()) if only is None or int(b) in only]
+        every = self.spark.read.parquet(*[f"{self.root}/{p}" for p in got["parts"].values()])
+        return self.spark.read.schema(every.schema).parquet(*[f"{self.root}/{p}" for p in parts]) if parts else every.limit(0)
+
+    def write(self, df: DataFrame, partition_by: list[str] = (), refuse_empty: bool = False, note: int | None = None) -> str:
+        """Write a new version of all rows and point to it. With ``refuse_empty`` an empty table raises and changes nothing."""
         if refuse_empty and df.isEmpty():
             raise ValueError(f"{self.root}: refusing to replace the table by an empty one")
+        return self._point(self._files(df, partition_by), note)
+
+    def replace(self, df: DataFrame, touched: list[int], note: int | None = None) -> str:
+        """Write ``df``, all rows of the buckets ``touched``, and point to it and the other buckets as they are."""
+        old = self.pointer()
+        kept = {b: p for b, p in (old["parts"] if old else {}).items() if int(b) not in touched}
+        return self._point(kept | self._files(df), note)
+
+    def _files(self, df: DataFrame, partition_by: list[str] = ()) -> dict[str, str]:
         v = f"v-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(f"{self.root}/{v}")
-        fs, jvm = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
-        part = path(f"{self.root}/NEXT-{v}")
-        out = fs.create(part, True)
-        out.write(bytearray(v.encode()))
+        if self.buckets == 1:
+            df.write.partitionBy(*partition_by).parquet(f"{self.root}/{v}")
+            return {"0": v}
+        # Rows of a bucket stay spread over tasks; each task writes its part of it.
+        df.withColumn("__bucket", self.bucket()).write.partitionBy("__bucket").parquet(f"{self.root}/{v}")
+        names = [f.getPath().getName() for f in self._fs().listStatus(self._path(v))]
+        return {n.split("=")[1]: f"{v}/{n}" for n in names if n.startswith("__bucket=")}
+
+    def _point(self, parts: dict[str, str], note: int | None) -> str:
+        fs, numbers = self._fs(), self._numbers()
+        number = (numbers[0] if numbers else 0) + 1
+        aside, place = self._path(f"_aside/{uuid.uuid4().hex}"), self._path(f"_pointers/{number:012d}")
+        fs.mkdirs(self._path("_pointers"))
+        out = fs.create(aside, True)
+        out.write(bytearray(json.dumps({"parts": parts, "note": note}).encode()))
         out.close()
-        fs.delete(path(f"{self.root}/CURRENT"), False)
-        if not fs.rename(part, path(f"{self.root}/CURRENT")):
-            raise OSError(f"{self.root}: the pointer couldn't be replaced")
-        return v
+        if fs.exists(place) or not fs.rename(aside, place):
+            raise OSError(f"{self.root}: another writer took version {number}")
+        for n in numbers[self.KEPT :]:
+            fs.delete(self._path(f"_pointers/{n:012d}"), False)
+        return str(number)
 
 
 def append_report(df: DataFrame, path: str) -> None:

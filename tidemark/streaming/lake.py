@@ -13,20 +13,24 @@ from tidemark.sources.stores import VersionedTable
 def merge_stream(spark: SparkSession, source: DataFrame, table: VersionedTable, keys: list[str], board: list[str], at: str, order: str, checkpoint: str) -> None:
     """Run the stream to its present end, merging each micro-batch into ``table``.
 
-    A batch holds whole reads: every board in it was read completely. Batches already merged (after a
-    restart) are known by the batch number stored with the rows and are skipped.
+    A batch holds whole reads: every board in it was read completely. Only the buckets of the table that
+    hold the batch's boards are read and written again (the table's ``by`` must be ``board``; with one bucket
+    that is all of it). Batches already merged (after a restart) are known by the number that the table's
+    pointer carries and are skipped.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        store = table.read()
-        if store is not None and store.where(F.col("__batch") >= number).limit(1).count():
+        at_hand = table.pointer()
+        if at_hand is not None and at_hand["note"] is not None and at_hand["note"] >= number:
             return
         now = F.lit(batch.agg(F.max(at)).first()[0])
         run = keep_first(batch, keys, [F.col(order)])
-        old = store.drop("__batch") if store is not None else spark.createDataFrame([], _schema(run))
-        table.write(upsert(old, run, keys, batch.select(*board), board, now).withColumn("__batch", F.lit(number)))
+        touched = sorted(r[0] for r in batch.select(table.bucket().alias("b")).distinct().collect())  # no more than there are buckets
+        old = table.read(touched)
+        old = old if old is not None else spark.createDataFrame([], _schema(run))
+        table.replace(upsert(old, run, keys, batch.select(*board), board, now), touched, number)
 
     def _schema(run: DataFrame) -> str:
         kinds = dict(run.dtypes)
