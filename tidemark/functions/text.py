@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # Elements that hold no text to read, and elements that stand on lines of their own.
 SILENT = ["head", "iframe", "noscript", "script", "style", "svg", "template"]
@@ -136,11 +136,23 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def nfkc_each(s: pd.Series) -> pd.Series:
+    """nfkc() of each text of an array."""
+    import unicodedata
+
+    return s.map(lambda a: [None if t is None else unicodedata.normalize("NFKC", t) for t in a], na_action="ignore")
+
+
+def plain_form(c: Column) -> Column:
+    """Quotes and dashes made plain, one line, lower case; '' for null."""
+    t = F.translate(F.coalesce(c, F.lit("")), "‘’‚‛“”„‟‐‑‒–—―− ", "''''\"\"\"\"------- ")
+    return F.lower(one_line(t))
+
+
 def for_match(c: Column) -> Column:
     """NFKC, quotes and dashes made plain, one line, lower case. Only texts that aren't plain ASCII leave the JVM."""
-    t = F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
-    t = F.translate(F.coalesce(t, F.lit("")), "‘’‚‛“”„‟‐‑‒–—―− ", "''''\"\"\"\"------- ")
-    return F.lower(one_line(t))
+    return plain_form(F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c))
 
 
 def quoted_in(quote: Column, page: Column, least: int = 12) -> Column:
@@ -149,9 +161,14 @@ def quoted_in(quote: Column, page: Column, least: int = 12) -> Column:
     return (F.length(q) >= least) & F.contains(for_match(page), q)
 
 
-def evidence_kept(evidence: Column, page: Column) -> Column:
-    """Entries of a map of quotes that stand on the page."""
-    return F.map_filter(evidence, lambda _, q: quoted_in(q, page))
+def evidence_kept(evidence: Column, page: Column, least: int = 12) -> Column:
+    """Entries of a map of quotes that stand on the page; an empty map for null."""
+    entries = F.coalesce(F.map_entries(evidence), F.array().cast("array<struct<key:string,value:string>>"))
+    forms = F.transform(nfkc_each(F.transform(entries, lambda e: e["value"])), plain_form)
+    # The page goes beside each entry, as no lambda may hold a Python function.
+    rows = F.arrays_zip(entries, forms, F.array_repeat(for_match(page), F.size(entries)))
+    kept = F.filter(rows, lambda x: (F.length(x["1"]) >= least) & F.contains(x["2"], x["1"]))
+    return F.map_from_entries(F.transform(kept, lambda x: x["0"]))
 
 
 def years_named(c: Column, first: int = 2020, last: int = 2035) -> Column:

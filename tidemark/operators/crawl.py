@@ -123,3 +123,51 @@ def request_outcome(cached: Column, robots_ok: Column, paused: Column, offline:
         F.when(cached, F.lit(None).cast("string")).when(~robots_ok, "robots_disallow").when(paused, "rate_limited").when(offline, "offline_cache_miss")
         .when(status.isNull(), "network_error").when(status >= 400, F.concat(F.lit("http_"), status.cast("string"))).when(~is_json, "non_json_response")
     )
+
+
+RETRIES = 3  # attempts at a request in all
+TRANSIENT = (502, 503, 504)  # answers after which a request is tried again, as after none at all
+
+
+def settled(attempts: DataFrame, by: list[str], attempt: str, status: str, is_json: str | None = None) -> DataFrame:
+    """What each request came to: ``by``, ``attempts``, ``status``, ``error`` (null if it was read).
+
+    Attempts are numbered from 1; a null status is a failed transport. The first attempt that isn't transient
+    ends a request, as does the last of RETRIES; what is recorded after that plays no part. A refusal (429)
+    is never tried again. Errors: 'network_error', 'rate_limited_429', 'http_N', 'non_json_response'.
+    """
+    again = F.col(status).isNull() | F.col(status).isin(*TRANSIENT)
+    good = F.col(status).between(200, 299)
+    broken = ~F.coalesce(F.col(is_json), F.lit(False)) if is_json else F.lit(False)
+    error = F.when(F.col(status).isNull(), "network_error").when(F.col(status) == 429, "rate_limited_429").when(~good, F.concat(F.lit("http_"), F.col(status).cast("string"))).when(broken, "non_json_response")
+    made = F.struct(F.col(attempt).alias("attempt"), F.col(status).alias("status"), error.alias("error"))
+    rows = attempts.where(F.col(attempt) <= RETRIES)
+    got = rows.groupBy(*by).agg(F.min(F.when(~again, made)).alias("end"), F.max(made).alias("last"))
+    end = F.coalesce("end", "last")
+    return got.select(*by, end["attempt"].alias("attempts"), end["status"].alias("status"), end["error"].alias("error"))
+
+
+FRESH_HOURS = 6  # how long the rules of a robots file hold
+
+
+def rules_due(origins: DataFrame, known: DataFrame, now: Column, hours: int = FRESH_HOURS) -> DataFrame:
+    """Add ``due`` to origins: whether their robots file must be read again, as it never was or ``hours`` ago or more.
+
+    ``known``: origin, fetched_at; the latest of several counts.
+    """
+    latest = known.groupBy("origin").agg(F.max("fetched_at").alias("__tm_at"))
+    old = F.col("__tm_at").isNull() | (now >= F.col("__tm_at") + F.make_dt_interval(F.lit(0), F.lit(hours)))
+    return origins.join(latest, "origin", "left").withColumn("due", old).drop("__tm_at")
+
+
+def penalty_report(requests: DataFrame, host: str, at: str, refused: Column, retry_after: Column, now: float) -> DataFrame:
+    """Hosts that are to be left alone at ``now``: ``host``, ``until``, ``left`` (seconds). A pause is only ever prolonged."""
+    ask = F.when(refused, F.col(at) + F.greatest(F.lit(PAUSE), F.coalesce(retry_after, F.lit(0.0))))
+    got = requests.where(F.col(at) <= now).groupBy(F.col(host).alias("host")).agg(F.max(ask).alias("until"))
+    return got.where(F.col("until") > now).withColumn("left", F.col("until") - F.lit(now))
+
+
+def why_denied(allowed_: Column, status: Column) -> Column:
+    """The reason that goes with allowed(): null if allowed, else whether the robots file forbids or couldn't be had."""
+    had = F.coalesce(status.between(200, 499), F.lit(False))
+    return F.when(~allowed_, F.when(had, "robots_disallow").otherwise(F.concat(F.lit("robots_unreachable_"), F.coalesce(status.cast("string"), F.lit("none")))))

@@ -39,3 +39,15 @@ def report(boards: DataFrame) -> DataFrame:
     """Per tier: boards, finds, and the mean of the boards' yields (a missing one counts as 0)."""
     mean = F.avg(F.coalesce(board_yield(F.col("total_ever"), F.col("sweeps")), F.lit(0.0)))
     return boards.groupBy("tier").agg(F.count(F.lit(1)).alias("boards"), F.sum("total_ever").alias("total_ever"), F.round(mean, 4).alias("mean_yield"))
+
+
+def due_boards(registry: DataFrame, state: DataFrame, board: list[str], now: Column) -> DataFrame:
+    """Registered boards with their history, tier and whether they are due; one without history has swept nothing and is due.
+
+    ``state`` is unique in ``board`` and as of history().
+    """
+    known = state.select(*board, *[F.col(c) for c in ("total_ever", "recent", "sweeps", "last_swept")])
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    met = registry.select(*board).distinct().join(known, board, "left").select(*board, zero("total_ever"), zero("recent"), zero("sweeps"), "last_swept")
+    met = met.withColumn("tier", tier(F.col("total_ever"), F.col("recent"), F.col("sweeps")))
+    return met.withColumn("due", due(F.col("tier"), F.col("last_swept"), now))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.functions.nested import place_text
 from tidemark.functions.text import strip_html, truthy, unescape
 
 COLUMNS = ["platform", "token", "page", "position", "job_id", "title", "location", "url", "posted_on", "description"]
@@ -86,11 +87,11 @@ PLATFORMS = {
     ),
     "amazon": Platform(
         "jobs array<struct<id_icims:string,id:string,title:string,normalized_location:string,location:string,job_path:string,posted_date:string,description:string>>, hits int", "jobs",
-        {"job_id": lambda: first(J("id_icims"), J("id")), "title": lambda: first(J("title")), "location": lambda: place_text(first(J("normalized_location"), J("location"))), "url": lambda: F.concat(F.lit("https://www.amazon.jobs"), J("job_path")), "posted_on": lambda: first(J("posted_date")), "description": lambda: truthy(strip_html(J("description")))}, "hits",
+        {"job_id": lambda: first(J("id_icims"), J("id")), "title": lambda: first(J("title")), "location": lambda: place_text(first(J("normalized_location"), J("location")), "normal"), "url": lambda: F.concat(F.lit("https://www.amazon.jobs"), J("job_path")), "posted_on": lambda: first(J("posted_date")), "description": lambda: truthy(strip_html(J("description")))}, "hits",
     ),
     "eightfold": Platform(
         "positions array<struct<id:string,name:string,locations:array<string>,location:string,canonicalPositionUrl:string,postedTs:bigint,t_create:bigint>>, count int", "positions",
-        {"job_id": lambda: first(J("id")), "title": lambda: first(J("name")), "location": lambda: first(F.array_join(J("locations"), "; "), J("location")), "url": lambda: first(J("canonicalPositionUrl")), "posted_on": lambda: F.coalesce(F.date_format(F.timestamp_seconds(F.coalesce(J("postedTs"), J("t_create"))), "yyyy-MM-dd"), F.lit(""))}, "count",
+        {"job_id": lambda: first(J("id")), "title": lambda: first(J("name")), "location": lambda: first(F.array_join(J("locations"), "; "), J("location")), "url": lambda: first(J("canonicalPositionUrl")), "posted_on": lambda: F.coalesce(F.date_format(F.timestamp_seconds(F.coalesce(J("postedTs"), J("t_create"))), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(""))}, "count",
     ),
 }
 
@@ -100,13 +101,6 @@ def part(i: int) -> Column:
     return truthy(F.get(F.split(F.col("token"), r"\|"), F.lit(i)))
 
 
-def place_text(c: Column) -> Column:
-    """A place given as text, or as a JSON object or list of such, in words."""
-    keyed = F.regexp_extract_all(c, F.lit(r'"(?:name|city|state|country)"\s*:\s*"([^"]+)"'), F.lit(1))
-    listed = F.regexp_extract_all(c, F.lit(r'"([^"]+)"'), F.lit(1))
-    return F.when(c.rlike(r'^\s*[\[{].*"(?:name|city|state|country)"\s*:'), F.array_join(keyed, " ")).when(c.rlike(r"^\s*\["), F.array_join(listed, " ")).otherwise(c)
-
-
 def _read(answers: DataFrame, name: str, p: Platform) -> DataFrame:
     schema = p.schema if p.items == "" else f"struct<{_colons(p.schema)}>"
     rows = answers.where(F.col("platform") == name).withColumn("a", F.from_json("payload", schema))

@@ -122,3 +122,42 @@ def company_lines(lines: DataFrame) -> DataFrame:
     kept = lines.select(F.trim("value").alias("v")).where("v != '' AND NOT startswith(v, '#')")
     f = F.transform(F.split("v", ","), lambda x: F.trim(x))
     return kept.where(F.size(f) >= 2).select(f[0].alias("name"), f[1].alias("domain"), F.coalesce(F.nullif(F.get(f, F.lit(2)), F.lit("")), F.lit("unsorted")).alias("segment"))
+
+
+def recorded(requests: DataFrame, answers: DataFrame, now: float, max_age: float | None = None, offline: bool = False) -> DataFrame:
+    """Requests (``digest``) with the answer that is recorded for each: ``digest``, ``outcome``, ``status``, ``age``, ``text``, ``previous_hash``.
+
+    ``answers``: digest, fetched_at (seconds), record (JSON of status and text). A record that can't be read is none.
+    The latest counts. ``outcome`` is 'hit', 'stale' (older than ``max_age`` seconds) or 'miss'; nothing is stale
+    ``offline``, and without ``max_age`` nothing is read unless offline, as recording is always done but
+    reading must be asked for. ``previous_hash`` is the SHA-256 of the latest text, whatever its age.
+    """
+    body = F.from_json("record", "status int, text string")
+    read = answers.select("digest", "fetched_at", body.alias("r")).where("r.text IS NOT NULL")
+    last = read.groupBy("digest").agg(F.max(F.struct("fetched_at", "r")).alias("a"))
+    got = requests.select("digest").join(last, "digest", "left")
+    age = F.lit(now) - F.col("a.fetched_at")
+    usable = F.lit(True) if offline else F.lit(False) if max_age is None else age <= max_age
+    outcome = F.when(F.col("a").isNull(), "miss").when(usable, "hit").otherwise("stale" if max_age is not None else "miss")
+    told = lambda c: F.when(outcome == "hit", c)
+    return got.select("digest", outcome.alias("outcome"), told(F.col("a.r.status")).alias("status"), told(age).alias("age"), told(F.col("a.r.text")).alias("text"), F.sha2("a.r.text", 256).alias("previous_hash"))
+
+
+def usage(answers: DataFrame, host: str, text: str) -> DataFrame:
+    """Recorded answers and their bytes per host, and in all (null host)."""
+    return answers.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("answers"), F.sum(F.octet_length(text)).cast("bigint").alias("bytes")).unionByName(
+        answers.agg(F.lit(None).cast("string").alias("host"), F.count(F.lit(1)).alias("answers"), F.sum(F.octet_length(text)).cast("bigint").alias("bytes"))
+    )
+
+
+def registry_of(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(registry, page targets) that a resolution of companies leaves: boards that can be read, and the rest with an address.
+
+    ``found``: company, segment, platform, token, readable, careers_url, mechanism, source, evidence. Both replace
+    what was there, as a resolution is a current fact; order is that of mechanism, segment and company.
+    """
+    order = [F.col(c).asc_nulls_last() for c in ("mechanism", "segment", "company")]
+    full = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    boards = found.where(full("platform") & full("token") & F.coalesce("readable", F.lit(False)))
+    pages = found.where(F.col("mechanism").isin("page", "re_resolve", "unreachable"))
+    return boards.orderBy(*order).select("platform", "token", "company", "segment", "source", "evidence"), pages.orderBy(*order)
