@@ -275,8 +275,8 @@ def address_tokens(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("url", U.token_in_path(C("url")).alias("in_path"), U.token_in_host(C("url")).alias("in_host"), U.workday_token(C("url")).alias("workday"))
 
 
-@query(r"""WITH u AS (SELECT DISTINCT url, lower(regexp_extract(trim(url), '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)', 1)) AS h FROM postings WHERE url IS NOT NULL), x AS (SELECT *, regexp_extract(url, '((?:[A-Za-z0-9-]+\.)+workboards\.example)/(?:[a-z]{2}-[A-Z]{2}/)?([A-Za-z0-9_-]+)', ['h', 's']) AS w, regexp_extract(url, '//boards\.greenhouse\.example/([A-Za-z0-9_-]+)', 1) AS g FROM u)
-SELECT url, CASE WHEN w.h <> '' THEN 'workday' WHEN g <> '' THEN 'greenhouse' END AS platform, CASE WHEN w.h <> '' THEN lower(w.h) || '|' || lower(split_part(w.h, '.', 1)) || '|' || w.s WHEN g <> '' THEN g END AS token FROM x""")
+@query(r"""WITH u AS (SELECT DISTINCT url, lower(regexp_extract(trim(url), '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)', 1)) AS h FROM postings WHERE url IS NOT NULL), x AS (SELECT *, regexp_extract(url, '((?:[A-Za-z0-9-]+\.)+workboards\.example)/(?:[a-z]{2}-[A-Z]{2}/)?([A-Za-z0-9_-]+)', ['h', 's']) AS w, regexp_extract(url, '//boards\.greenhouse\.example/([A-Za-z0-9_-]+)', 1) AS g, regexp_extract(url, '([A-Za-z0-9_-]+)\.hire\.example(?:[^A-Za-z0-9.-]|$)', 1) AS e FROM u)
+SELECT url, CASE WHEN w.h <> '' THEN 'workday' WHEN g <> '' THEN 'greenhouse' WHEN e <> '' THEN 'eightfold' END AS platform, CASE WHEN w.h <> '' THEN lower(w.h) || '|' || lower(split_part(w.h, '.', 1)) || '|' || w.s WHEN g <> '' THEN g WHEN e <> '' THEN e END AS token FROM x""")
 def platforms_in_markup(spark: SparkSession, d: str) -> DataFrame:
     """Platforms and boards that a link to each posting names."""
     rows = table(spark, d, "postings").where("url IS NOT NULL").select("url").distinct()
