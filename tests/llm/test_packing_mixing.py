@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 from tidemark.llm.mixing import mix
-from tidemark.llm.packing import best_fit, complete, fewer, pack
+from tidemark.llm.packing import best_fit, complete, fewer, fillings, pack, packed
 from tidemark.llm.tokens import count_tokens
 
 
@@ -79,3 +79,43 @@ def test_mix(spark):
     over = {r["source"]: r for r in mix(df, "rate", "s", "n", targets, total=100_000)[1].collect()}
     assert over["big_source"]["rate"] == 1 and over["small"]["rate"] == 4
     assert mix(df.limit(0), "rate", "s", "n", targets)[0].count() == 0
+
+
+def test_search_beats_best_fit_at_a_thousand_items():
+    k = 33  # six containers of 1034, 522, 492 and three of twice 532, twice 492
+    sizes = [1034] * 6 * k + [522] * 6 * k + [492] * 12 * k + [532] * 6 * k
+    boxes, known = packed(sizes, 2048)
+    assert len(best_fit(sizes, 2048)) == 11 * k and len(boxes) == 9 * k and known == "bound"
+    assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) == 2048 for b in boxes)
+
+
+def test_how_a_number_is_known():
+    random.seed(9)
+    seen = set()
+    for _ in range(150):
+        sizes = [random.randint(8, 60) for _ in range(random.randint(6, 10))]
+        boxes, known = packed(sizes, 100)
+        seen.add(known)
+        assert known in ("bound", "search") and len(boxes) == least_bins(sizes, 100)
+    assert seen == {"bound", "search"}
+    hard = [random.randint(600, 1100) for _ in range(200)]
+    boxes, known = packed(hard, 2048, nodes_limit=50)
+    assert known == "limit" and len(boxes) == len(best_fit(hard, 2048)) and packed([], 10) == ([], "bound")
+
+
+def test_fillings_are_all_undominated():
+    from itertools import combinations
+
+    sizes = [50, 40, 30, 20, 20, 7]
+    counts = {s: sizes.count(s) for s in sizes}
+    got, whole = fillings(counts, sorted(counts, reverse=True), 70)
+    fit = {tuple(sorted(c, reverse=True)) for n in range(1, 7) for c in combinations(sizes, n) if sum(c) <= 70}
+
+    def dominated(c):
+        left = list(sizes)
+        for x in c:
+            left.remove(x)
+        room = 70 - sum(c)
+        return any(x <= room for x in left) or any(x < y <= x + room for x in c for y in left)
+
+    assert whole and set(got) == {c for c in fit if not dominated(c)} and not fillings(counts, sorted(counts, reverse=True), 70, 2)[1]

@@ -3,7 +3,8 @@
 Items are spread by hash over blocks of a bounded number of items, each packed by itself. In a block the
 largest item left opens a container; the undominated fillings around it are enumerated by branch and bound,
 and the search over containers is pruned by the room that the lower bound still allows to waste. Best-fit
-decreasing gives the first incumbent; if it meets the lower bound no search is needed.
+decreasing gives the first incumbent; if it meets the lower bound no search is needed. The search has limits,
+and each block says how its number of containers is known to be least, or that a limit ended the search.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from tidemark.scale import cut
 
 #: Items in a block on average: the most that one task packs at a time is about this many.
 BLOCK = 20_000
-#: Fillings looked at around one largest item, and containers opened in all, before the incumbent stands.
+#: Steps of the enumeration around one largest item, and containers opened in all, before the incumbent stands.
 FILLINGS, NODES = 400, 200_000
 
 
@@ -40,29 +41,28 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(counts: dict[int, int], order: list[int], room: int, most: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated sets of sizes that fit in ``room``, fullest first. order: the sizes left, largest first."""
+def fillings(counts: dict[int, int], order: list[int], room: int, most: int = FILLINGS) -> tuple[list[tuple[int, ...]], bool]:
+    """(undominated sets of sizes that fit in ``room``, fullest first; whether these are all). order: the sizes left, largest first.
+
+    A filling is left out if one of its sizes can be swapped for a larger one left over that still fits, or
+    another item still fits: then the better filling leads to no more containers.
+    """
     out: list[tuple[int, tuple[int, ...]]] = []
-    seen = 0
+    steps, whole = 0, True
 
     def extend(start: int, left: int, chosen: tuple[int, ...]) -> None:
-        nonlocal seen
-        if seen >= most or out and out[0][0] == 0:
+        nonlocal steps, whole
+        if steps >= most:
+            whole = False
             return
-        seen += 1
-        grown = False
-        for k in range(start, len(order)):
-            s = order[k]
-            if s > left:
-                continue
-            used = chosen.count(s)
-            if used < counts[s]:
-                grown = True
-                extend(k, left - s, (*chosen, s))
-                if out and out[0][0] == 0 or seen >= most:
-                    return
-        if not grown:
-            # Dominated if a chosen size can be swapped for a larger one that still fits.
+        steps += 1
+        fits = [k for k in range(start, len(order)) if order[k] <= left and chosen.count(order[k]) < counts[order[k]]]
+        for k in fits:
+            extend(k, left - order[k], (*chosen, order[k]))
+            if not whole:
+                return
+        # Larger sizes than the last chosen may still fit too: such a set is found from their side.
+        if not fits and not any(s <= left and counts[s] > chosen.count(s) for s in order[:start]):
             for c in set(chosen):
                 if any(c < s <= c + left and counts[s] > chosen.count(s) for s in order):
                     break
@@ -70,23 +70,34 @@ def fillings(counts: dict[int, int], order: list[int], room: int, most: int = FI
                 insort(out, (left, chosen))
 
     extend(0, room, ())
-    return [c for _, c in out] or [()]
+    return [c for _, c in out] or [()], whole
 
 
-def complete(sizes: list[int], capacity: int) -> list[list[int]]:
+def complete(sizes: list[int], capacity: int, fillings_limit: int = FILLINGS, nodes_limit: int = NODES) -> list[list[int]]:
     """Containers of item numbers, as few as bin completion finds. Each size is 1 to ``capacity``."""
+    return packed(sizes, capacity, fillings_limit, nodes_limit)[0]
+
+
+def packed(sizes: list[int], capacity: int, fillings_limit: int = FILLINGS, nodes_limit: int = NODES) -> tuple[list[list[int]], str]:
+    """complete(), and how its number is known to be least: 'bound' (the sizes need as many), 'search' (no packing has fewer), or 'limit' (not known)."""
     incumbent = best_fit(sizes, capacity)
     least = -(-sum(sizes) // capacity)
     while len(incumbent) > least:
-        better = fewer(sizes, capacity, len(incumbent) - 1)
+        better, whole = searched(sizes, capacity, len(incumbent) - 1, fillings_limit, nodes_limit)
         if better is None:
-            break
+            return incumbent, "search" if whole else "limit"
         incumbent = better
-    return incumbent
+    return incumbent, "bound"
 
 
 def fewer(sizes: list[int], capacity: int, most: int) -> list[list[int]] | None:
     """A packing in ``most`` containers or less, None if the search finds none."""
+    return searched(sizes, capacity, most)[0]
+
+
+def searched(sizes: list[int], capacity: int, most: int, fillings_limit: int = FILLINGS, nodes_limit: int = NODES) -> tuple[list[list[int]] | None, bool]:
+    """(a packing in ``most`` containers or less, None if the search finds none; whether the search saw all there is)."""
+    whole = True
     total, nodes = sum(sizes), 0
     counts: dict[int, int] = {}
     for s in sizes:
@@ -100,18 +111,20 @@ def fewer(sizes: list[int], capacity: int, most: int) -> list[list[int]] | None:
     wasted = [0]
 
     def options() -> Iterator[tuple[int, ...]]:
+        nonlocal whole
         while order and not counts[order[0]]:
             order.pop(0)
         largest = order[0]
         counts[largest] -= 1
         live = [s for s in order if counts[s] and s <= capacity - largest]
-        found = fillings(counts, live, capacity - largest)
+        found, all_ = fillings(counts, live, capacity - largest, fillings_limit)
+        whole &= all_
         counts[largest] += 1
         return iter([(largest, *f) for f in found])
 
     left = len(sizes)
     stack.append(options())
-    while stack and nodes < NODES:
+    while stack and nodes < nodes_limit:
         choice = next(stack[-1], None)
         if choice is None:
             stack.pop()
@@ -136,20 +149,22 @@ def fewer(sizes: list[int], capacity: int, most: int) -> list[list[int]] | None:
             break
         stack.append(options())
     if best is None:
-        return None
+        return None, whole and not stack
     by_size: dict[int, list[int]] = {}
     for i in range(len(sizes) - 1, -1, -1):
         by_size.setdefault(sizes[i], []).append(i)
-    return [[by_size[s].pop() for s in choice] for choice in best]
+    return [[by_size[s].pop() for s in choice] for choice in best], True
 
 
-def pack(df: DataFrame, key: str, size: str, capacity: int, block: int = BLOCK) -> DataFrame:
+def pack(df: DataFrame, key: str, size: str, capacity: int, block: int = BLOCK, fillings_limit: int = FILLINGS, nodes_limit: int = NODES, known: bool = False) -> DataFrame:
     """Containers of the items of ``df``: ``container`` BIGINT, ``key``, ``piece`` INT, ``start`` BIGINT, ``size`` BIGINT, ``fill`` BIGINT.
 
     An item larger than ``capacity`` is cut into pieces of ``capacity`` and one of the rest, numbered from 0,
     ``start`` being where a piece begins in it; other items are one whole piece. Items of size 0 go into the
     first container of their block; null and negative sizes are no items. Repeated rows are items of their
-    own. ``fill`` is the size of all pieces of the container. Equal input gives equal containers.
+    own. ``fill`` is the size of all pieces of the container. Equal input gives equal containers. With ``known`` a
+    column of that name says how the number of containers of the item's block is known to be least (see packed()); 'limit' means
+    that ``fillings_limit`` or ``nodes_limit`` ended the search and fewer may be possible.
     """
     items = cut(df.select(F.col(key).alias("key"), F.col(size).cast("bigint").alias("size")).where("size >= 0"))
     blocks = max(1, -(-items.count() // block))
@@ -172,7 +187,8 @@ def pack(df: DataFrame, key: str, size: str, capacity: int, block: int = BLOCK)
             if rest:
                 pieces.append((k, full, full * capacity, rest))
         out, n = [], 0
-        for box in [*complete([p[3] for p in pieces], capacity)]:
+        boxes, how = packed([p[3] for p in pieces], capacity, fillings_limit, nodes_limit)
+        for box in boxes:
             fill = sum(pieces[i][3] for i in box)
             out += [(base + n, *pieces[i], fill) for i in box]
             n += 1
@@ -181,6 +197,8 @@ def pack(df: DataFrame, key: str, size: str, capacity: int, block: int = BLOCK)
             n += 1
         first = out[0][5] if out else 0
         out += [(base, *e, first) for e in empty]
-        return pd.DataFrame(out, columns=["container", "key", "piece", "start", "size", "fill"])
+        return pd.DataFrame(out, columns=["container", "key", "piece", "start", "size", "fill"]).assign(known=how)
 
-    return spread.groupBy("block").applyInPandas(one, f"container bigint, key {kind}, piece int, start bigint, size bigint, fill bigint").withColumnRenamed("key", key)
+    got = spread.groupBy("block").applyInPandas(one, f"container bigint, key {kind}, piece int, start bigint, size bigint, fill bigint, known string")
+    got = got if known else got.drop("known")
+    return got.withColumnRenamed("key", key)

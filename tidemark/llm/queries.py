@@ -96,8 +96,8 @@ def sized(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     """Each container's texts and fill: one row per piece of a text."""
-    got = pack(sized(spark, d), "doc_id", "n_tokens", CAPACITY)
-    return got.select("container", "doc_id", "piece", "start", F.col("size").alias("n_tokens"), "fill")
+    got = pack(sized(spark, d), "doc_id", "n_tokens", CAPACITY, known=True)
+    return got.select("container", "doc_id", "piece", "start", F.col("size").alias("n_tokens"), "fill", "known")
 
 
 def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
