@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.scale import cut, guarded_join
 
-#: The reference list is held in memory; more entries than this are refused.
+#: The reference list is held in the memory of every task; more entries than this are refused unless the caller allows more.
 MAX_ENTRIES = 20_000
 EDITS = 2
 TOKEN = r"[\p{L}\p{M}\p{Nd}]+"
@@ -195,19 +195,19 @@ class Gazetteer:
         return [min(keys)]
 
 
-def match_places(df: DataFrame, value: str, places: DataFrame, key: str = "place_id", name: str = "city", others: str = "other_names", code: str = "code", context: tuple[str, ...] = ("region", "country", "country_code")) -> DataFrame:
+def match_places(df: DataFrame, value: str, places: DataFrame, key: str = "place_id", name: str = "city", others: str = "other_names", code: str = "code", context: tuple[str, ...] = ("region", "country", "country_code"), most: int = MAX_ENTRIES) -> DataFrame:
     """Distinct texts of ``value`` with the entries they name: ``text``, ``found`` (array of keys, empty if none).
 
     ``places`` is the reference list: unique integer ``key``, ``name``, ``others`` (separated by ';'), ``code``
-    (matched only in capitals) and ``context`` columns; it is refused beyond MAX_ENTRIES. Texts are trimmed;
+    (matched only in capitals) and ``context`` columns; it is refused beyond ``most`` entries. Texts are trimmed;
     null and blank ones give no row; texts of any length are matched as a whole. With an empty list every
     text names nothing. Ties between entries go to the one spelt as written, then to the lowest key. Join
     the result to the rows by their trimmed text.
     """
     wanted = [key, name, others, code, *context]
-    rows = places.select(*wanted).dropna(subset=[key, name]).orderBy(key).limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"the reference list has more than {MAX_ENTRIES} entries")
+    rows = places.select(*wanted).dropna(subset=[key, name]).orderBy(key).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the reference list has more than {most} entries")
     gazetteer = Gazetteer([r.asDict() for r in rows], name, others, code, list(context), key)
     spark = df.sparkSession
 
@@ -219,18 +219,21 @@ def match_places(df: DataFrame, value: str, places: DataFrame, key: str = "place
     distinct = tokens.select("token").distinct()
 
     # Tokens of the vocabulary stand for themselves; others meet it through deletion variants.
-    strange = distinct.where((F.length("token") > 1) & (F.length("token") <= longest + EDITS) & ~F.col("token").rlike(r"^\d+$")).join(F.broadcast(vocabulary), F.col("token") == F.col("word"), "left_anti")
+    strange = distinct.where((F.length("token") > 1) & (F.length("token") <= longest + EDITS) & ~F.col("token").rlike(r"^\d+$"))
+    strange = guarded_join(strange, vocabulary.withColumnRenamed("word", "token"), ["token"], "left_anti")
     strange = strange.where(~F.col("token").isin(sorted(PLAIN)))
     reachable = spark.createDataFrame([(w,) for w in words if len(w) > 3 or (len(w) > 1 and w in gazetteer.name_tokens)], "word string")
-    reach = F.broadcast(reachable.select("word", F.explode(variants(F.col("word"))).alias("part")))
-    pairs = strange.select("token", F.explode(variants(F.col("token"))).alias("part")).join(reach, "part").select("token", "word").distinct()
+    # The list's variants grow with it, so that they are weighed before they are broadcast; beyond that the parts of both sides are shuffled.
+    reach = reachable.select("word", F.explode(variants(F.col("word"))).alias("part"))
+    parts = strange.select("token", F.explode(variants(F.col("token"))).alias("part"))
+    pairs = guarded_join(parts, reach, ["part"], "inner", "token").select("token", "word").distinct()
 
     @F.pandas_udf("int")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([edits(x, y, EDITS) for x, y in zip(a, b, strict=True)], dtype="int32")
 
     near = pairs.withColumn("d", distance("token", "word")).where(F.col("d") <= EDITS)
-    exact = distinct.join(F.broadcast(vocabulary), F.col("token") == F.col("word")).select("token", "word", F.lit(0).alias("d"))
+    exact = guarded_join(distinct, vocabulary.select(F.col("word").alias("token"), "word"), ["token"], "inner").select("token", "word", F.lit(0).alias("d"))
     fixes = near.unionByName(exact).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("d", "word"))).alias("fixes"))
     fixes = cut(fixes)
     mended = guarded_join(tokens, fixes, ["token"], "left", "text")
