@@ -258,14 +258,27 @@ def shape(text: str) -> str:
     return "i" if size <= ITEM_WORDS else "o"
 
 
-def laid_out(numbers: list[int], texts: dict[int, str]) -> set[int]:
+def told(text: str, memory: dict) -> tuple[str, bool, bool, str]:
+    """(plain text, whether it opens a list of other roles, whether it is of the site by itself, shape) of a line; known ones from ``memory``."""
+    got = memory.get(text)
+    if got is None:
+        if len(memory) > MEMORY:
+            memory.clear()
+        t = re.sub(r"\s+", " ", plain(text))
+        got = memory[text] = (t, bool(OTHER_ROLES.match(t)), is_site(text), shape(text))
+    return got
+
+
+def laid_out(numbers: list[int], texts: dict[int, str], memory: dict | None = None) -> set[int]:
     """The lines that their place and layout alone tell to be of the site. numbers: of the lines with visible text, in order.
 
     Rows of three and more short items; in the lines before the first sentence or fact, a run of short lines
     up to a blank line, or all but the last two (title and heading) of a longer run; a path whose last part
     is a later line; and what comes after the last sentence, up to a fact or an own heading.
     """
-    kind = {n: shape(texts[n]) for n in numbers}
+    memory = {} if memory is None else memory
+    known = {n: told(texts[n], memory) for n in numbers}
+    kind = {n: known[n][3] for n in numbers}
     site = {n for n in numbers if kind[n] == "r"}
     sentences = [n for n in numbers if kind[n] == "s"]
     first = next((k for k, n in enumerate(numbers) if kind[n] in "sf"), len(numbers))
@@ -275,9 +288,9 @@ def laid_out(numbers: list[int], texts: dict[int, str]) -> set[int]:
         site.update(head[:gap])
     elif len(head) >= LEAST_RUN + 2:
         site.update(head[:-2])
-    later = {plain(texts[n]): n for n in numbers}
+    later = {known[n][0]: n for n in numbers}
     for n in numbers[: first + 1]:
-        parts = [x for x in re.split(r"\s*[>/»›▸]\s*", plain(texts[n])) if x]
+        parts = [x for x in re.split(r"\s*[>/»›▸]\s*", known[n][0]) if x]
         if len(parts) > 1 and later.get(parts[-1], 0) > n:
             site.add(n)
     if sentences:
@@ -301,7 +314,7 @@ def site_lines(source: str | None, memory: dict | None = None) -> list[int]:
         # Words of one line that stand in separate cells or blocks keep their distance.
         seen[p.line] = (text + ("   " if text and (p.block or p.cell > 0) else "") + p.text, site and p.site)
     numbers = [n for n, row in enumerate(raw, 1) if row.strip()]
-    placed = laid_out([n for n in numbers if n in seen], {n: seen[n][0] for n in seen})
+    placed = laid_out([n for n in numbers if n in seen], {n: seen[n][0] for n in seen}, memory)
     site: dict[int, bool] = {}
     listing = False
     for n in numbers:
@@ -309,12 +322,7 @@ def site_lines(source: str | None, memory: dict | None = None) -> list[int]:
             site[n] = True  # markup or hidden text alone
             continue
         text, inside = seen[n]
-        if text not in memory:
-            if len(memory) > MEMORY:
-                memory.clear()
-            t = re.sub(r"\s+", " ", plain(text))
-            memory[text] = (t, bool(OTHER_ROLES.match(t)), is_site(text))
-        t, opens, alone = memory[text]
+        t, opens, alone, _ = told(text, memory)
         if opens:
             site[n] = listing = True
             continue
