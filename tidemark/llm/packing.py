@@ -41,6 +41,25 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def exact(counts: dict[int, int], order: list[int], room: int, most: int = FILLINGS) -> tuple[int, ...] | None:
+    """The first set of sizes that fills ``room`` to the last, largest sizes tried first; None if none is met in ``most`` steps."""
+    steps = 0
+
+    def extend(start: int, left: int, chosen: tuple[int, ...]) -> tuple[int, ...] | None:
+        nonlocal steps
+        if left == 0:
+            return chosen
+        steps += 1
+        for k in range(start, len(order)):
+            if steps >= most:
+                return None
+            if order[k] <= left and chosen.count(order[k]) < counts[order[k]] and (got := extend(k, left - order[k], (*chosen, order[k]))):
+                return got
+        return None
+
+    return extend(0, room, ()) if room else None
+
+
 def fillings(counts: dict[int, int], order: list[int], room: int, most: int = FILLINGS) -> tuple[list[tuple[int, ...]], bool]:
     """(undominated sets of sizes that fit in ``room``, fullest first; whether these are all). order: the sizes left, largest first.
 
@@ -115,12 +134,23 @@ def searched(sizes: list[int], capacity: int, most: int, fillings_limit: int = F
         while order and not counts[order[0]]:
             order.pop(0)
         largest = order[0]
-        counts[largest] -= 1
-        live = [s for s in order if counts[s] and s <= capacity - largest]
-        found, all_ = fillings(counts, live, capacity - largest, fillings_limit)
+        room = capacity - largest
+
+        def inside(f):
+            """``f`` over what is left beside the largest item."""
+            counts[largest] -= 1
+            got = f(counts, [s for s in sizes_left if counts[s] and s <= room], room, fillings_limit)
+            counts[largest] += 1
+            return got
+
+        # The rest is enumerated only if the search comes back for it; what is left is then as it was.
+        sizes_left = list(order)
+        first = inside(exact)
+        if first is not None:
+            yield (largest, *first)
+        found, all_ = inside(fillings)
         whole &= all_
-        counts[largest] += 1
-        return iter([(largest, *f) for f in found])
+        yield from ((largest, *f) for f in found if f != first)
 
     left = len(sizes)
     stack.append(options())
